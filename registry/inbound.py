@@ -1 +1,208 @@
+"""Inbound and stored goods by stage over the whole order history."""
 
+from __future__ import annotations
+
+from datetime import date, timedelta
+
+from pyspark.sql import functions as F
+
+from registry.base import query
+from registry.oracle_tables import M
+from registry.rates import ITEMS, R
+from shelfweek.plans import inbound
+from shelfweek.plans.merged_rates import available_stock
+
+AS_OF = date(2001, 8, 2)
+SETS = (51, 36)
+COMPANIES = "company IN ('HPB', 'TTB')"
+
+
+def nearest(source: str, stamp: str, where: str, keys: str) -> str:
+    gap = f"abs(date_diff('hour', first_dt, {stamp}))"
+    return f"""SELECT * EXCLUDE (n) FROM (SELECT w.item AS k_item, r.*, row_number() OVER (PARTITION BY w.item ORDER BY {gap}, {keys}) AS n
+        FROM wh_stock w JOIN {source} r ON r.item = w.item WHERE w.free + w.in_transit > 0 AND {where}) WHERE n = 1"""
+
+
+def stages(receipt_stamp: str, receipt_where: str, by_type: bool, register: bool, skip_stocked: bool) -> dict[str, str]:
+    kind = "o_orderstatus" if by_type else "CAST(NULL AS VARCHAR)"
+    group = "item, scheme_id" + (", o_orderstatus" if by_type else "")
+    line = "item, scheme_id, sum(q) AS qty, '{status}' AS status, max(l_shipdate) AS last_date, max({note}) AS notes1, max(o_orderpriority) AS notes2, " + kind + " AS notes3"
+    listed = "AND EXISTS (SELECT 1 FROM lineitem x WHERE x.l_tax < 0.07 AND x.l_orderkey = p.l_orderkey AND x.l_partkey = p.l_partkey)" if register else ""
+    stocked = "AND NOT EXISTS (SELECT 1 FROM s_stock t WHERE t.item = r.item AND t.notes1 = r.receipt_id)" if skip_stocked else ""
+    return {
+        "n_receipt": nearest("receipt_lines", receipt_stamp, receipt_where, "receipt_id, o_orderpriority, o_orderstatus, scheme_id"),
+        "n_order": nearest("po_lines", "o_orderdate", "true", "po_id, o_orderpriority, o_orderstatus, scheme_id"),
+        "s_waves": """SELECT item, sum(CASE WHEN status1 < 300 THEN q ELSE 0 END) AS wave_qty, sum(CASE WHEN status1 >= 300 AND status1 < 900 THEN q ELSE 0 END) AS prog_qty,
+            max(l_shipdate) AS last_wave_dt FROM wh_lines WHERE customer = 'HPB' GROUP BY 1""",
+        "s_stock": f"""SELECT w.item, coalesce(r.scheme_id, o.scheme_id) AS scheme_id, greatest(free + in_transit - coalesce(wave_qty, 0), 0) AS qty,
+            CASE WHEN coalesce(wave_qty, 0) + coalesce(prog_qty, 0) = 0 THEN '3 - Scale Inv' ELSE '4 - Waved Inv' END AS status, first_dt AS last_date,
+            coalesce(receipt_id, 'no rct') AS notes1, coalesce(r.o_orderpriority, o.o_orderpriority) AS notes2,
+            coalesce(r.o_orderstatus, o.o_orderstatus) AS notes3
+            FROM wh_stock w LEFT JOIN s_waves v ON v.item = w.item LEFT JOIN n_receipt r ON r.k_item = w.item LEFT JOIN n_order o ON o.k_item = w.item
+            WHERE free + in_transit > 0""",
+        "s_po": "SELECT " + line.format(status="1a - PO without Rcts", note="po_id") + f""" FROM po_lines p WHERE {COMPANIES} AND q > 1
+            AND o_orderdate >= DATE '{AS_OF - timedelta(days=366)}' {listed} AND po_id NOT IN (SELECT po_id FROM receipt_lines) GROUP BY {group}""",
+        "s_partial": "SELECT " + line.format(status="1b - PO with Rcts", note="po_id") + f""" FROM po_lines p WHERE {COMPANIES} AND q > 1
+            AND o_orderdate >= DATE '2000-01-01' AND o_orderpriority <> '1-URGENT'
+            AND coalesce(CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 3 DAY END, o_orderdate) > DATE '{AS_OF - timedelta(days=180)}'
+            AND NOT EXISTS (SELECT 1 FROM receipt_lines r WHERE r.item = p.item AND r.po_id = p.po_id) GROUP BY {group}""",
+        "s_open": "SELECT " + line.format(status="2 - Open Rct", note="receipt_id") + f""" FROM receipt_lines r WHERE {COMPANIES}
+            AND close_date IS NULL AND l_linestatus = 'O' AND o_orderdate >= DATE '2000-01-01' {stocked} GROUP BY {group}""",
+        "s_all": "SELECT * FROM s_stock UNION ALL SELECT * FROM s_po UNION ALL SELECT * FROM s_partial UNION ALL SELECT * FROM s_open",
+        "s_lines": "SELECT * FROM s_all WHERE notes1 = 'no rct' OR item NOT IN (SELECT item FROM s_all WHERE notes1 = 'no rct')",
+    }
+
+
+CLOSED = stages("close_date", "close_date IS NOT NULL", by_type=False, register=True, skip_stocked=False)
+BY_TYPE = stages("o_orderdate", "true", by_type=True, register=False, skip_stocked=True)
+LINE = "item:s scheme_id:s qty:i status:s last_date:s notes1:s notes2:s notes3:s"
+DATED = "SELECT * REPLACE (CAST(last_date AS DATE) AS last_date) FROM "
+NUMBERS = ("lgi", "cr_sold_qty", "at_sold_qty", "cr_locs", "at_locs", "cr_ros", "at_ros", "cr_wh_ros", "at_wh_ros", "cr_wh_custs", "at_wh_custs")
+ENRICHED = {
+    **ITEMS, **CLOSED,
+    "e_rows": """SELECT l.*, lpad(l.item, 20, '0') AS item_code, count(*) OVER (PARTITION BY l.item) AS item_lines, p.title, p.mark AS company_mark, p.cost, p.price,
+        p.isbn, p.upc, p.marks AS reorder_marks, p.bought_from AS rord_vendor, p.section_code,
+        CASE WHEN p.mark = 'TTB' THEN 'TRO' WHEN i.vendor <> 'Inac' AND i.rord_grp = 'HRO' THEN 'HRO' ELSE 'CDC' END AS rord_grp,
+        coalesce(n.rpt_it, h.rpt_it, 'new') AS rpt_it, coalesce(n.rpt_it, h.rpt_it, p.item_code) AS rate_key, CAST(left(status, 1) AS INTEGER) AS status_id
+        FROM s_lines l JOIN products p ON p.item_code = lpad(l.item, 20, '0') JOIN item_master i ON i.item_code = p.item_code
+        LEFT JOIN ledger_items n ON n.item_code = p.item_code LEFT JOIN reorder_items h ON h.item_code = p.item_code""",
+    "specials": """SELECT lpad(CAST(l_partkey AS VARCHAR), 20, '0') AS item_code, left('P' || lpad(CAST(l_orderkey AS VARCHAR), 6, '0'), 6) AS po_number,
+        max(l_linestatus || l_returnflag) AS spec_instr FROM lineitem GROUP BY ALL""",
+    "e_rated": f"""SELECT e.*, s.cap, s.secn, s.section AS secn_scheme_id, schemes.scheme_qty AS secn_scheme_qty, 0 AS orig_scheme_qty, spec_instr,
+        coalesce(nullif(isbn, ''), upc) AS title_code, {', '.join(f'coalesce(m.{n}, 0) AS {n}' for n in NUMBERS)}, m.cr_ros AS raw_cr, m.at_ros AS raw_at
+        FROM e_rows e JOIN sections s ON s.section = e.section_code LEFT JOIN schemes ON schemes.scheme_id = s.section
+        LEFT JOIN specials x ON x.item_code = e.item_code AND x.po_number = left(e.notes1, 6)
+        LEFT JOIN merged_items m ON m.rpt_it = e.rate_key""",
+    "enriched": f"""SELECT *, scheme_id AS orig_scheme_id, CAST(last_date AS DATE) AS status_dt,
+        CASE WHEN at_locs + at_ros - at_wh_ros + lgi = 0 AND (status <> '4 - Waved Inv' OR rord_grp = 'CDC') THEN 'init' ELSE 'rord' END AS order_class,
+        CAST(CAST(qty + lgi AS DOUBLE) / nullif(CAST(raw_cr AS DOUBLE), 0) AS {R}) AS days_cr_ros,
+        CAST(CAST(qty + lgi AS DOUBLE) / nullif(CAST(raw_at AS DOUBLE), 0) AS {R}) AS days_at_ros,
+        CASE WHEN status = '1b - PO with Rcts' AND n_title >= 2 AND n_mark = 1 AND best = left(status, 2) THEN 'maybe'
+             WHEN status <> '1a - PO without Rcts' OR n_title < 2 OR n_mark > 1 THEN 'ok' ELSE 'dup' END AS dup_line
+        FROM (SELECT *, count(*) OVER (PARTITION BY title) AS n_title, count(*) OVER (PARTITION BY title, company_mark) AS n_mark,
+              min(left(status, 2)) OVER (PARTITION BY title) AS best FROM e_rated)""",
+    "sugg": """SELECT rpt_it, CASE WHEN oos >= reg THEN oos ELSE reg END AS sugg_order_qty, CASE WHEN oos >= reg THEN oos_locs ELSE reg_locs END AS sugg_order_locs
+        FROM (SELECT rpt_it, sum(CASE WHEN set_id = 51 THEN order_qty ELSE 0 END) AS reg, count(DISTINCT CASE WHEN set_id = 51 AND order_qty > 0 THEN loc END) AS reg_locs,
+            sum(CASE WHEN set_id = 36 THEN order_qty ELSE 0 END) AS oos, count(DISTINCT CASE WHEN set_id = 36 AND order_qty > 0 THEN loc END) AS oos_locs
+        FROM suggestions GROUP BY 1)""",
+}
+
+
+def stock_and_waves(s):
+    return inbound.stock_with_waves(available_stock(s.wh_inventory, s.wh_location, in_transit=True), s.wh_shipment_detail)
+
+
+def enriched(s):
+    return inbound.enrich_lines(inbound.stage_lines(s, AS_OF), s)
+
+
+@query(
+    "item:s inv_qty:i first_date:s wave_qty:i prog_qty:i last_wave_dt:s",
+    """SELECT item, free + in_transit AS inv_qty, CAST(first_dt AS DATE) AS first_date, coalesce(wave_qty, 0) AS wave_qty, coalesce(prog_qty, 0) AS prog_qty,
+        CAST(last_wave_dt AS DATE) AS last_wave_dt FROM wh_stock LEFT JOIN s_waves USING (item) WHERE free + in_transit > 0""", **CLOSED,
+)
+def stock_with_waves(s):
+    return stock_and_waves(s)
+
+
+@query(LINE, DATED + "s_stock", **CLOSED)
+def stock_lines(s):
+    """Stocked items with the receipt or order nearest in time."""
+    return inbound.stock_lines(stock_and_waves(s), inbound.receipts(s.wh_receipt_tiers), inbound.purchase_orders(s.wh_po_tiers))
+
+
+@query(LINE, DATED + "s_po", **CLOSED)
+def open_po_lines(s):
+    details = [d for _, d in s.wh_receipt_tiers]
+    return inbound.open_po_lines(*s.wh_po_tiers[0], details[:2], AS_OF, s.purchase_order_register)
+
+
+@query(LINE, DATED + "s_partial", **CLOSED)
+def unreceived_po_lines(s):
+    details = [d for _, d in s.wh_receipt_tiers]
+    return inbound.unreceived_po_lines(*s.wh_po_tiers[0], s.wh_receipt_tiers[0][0], details, AS_OF)
+
+
+@query(LINE, DATED + "s_open", **CLOSED)
+def open_receipt_lines(s):
+    return inbound.open_receipt_lines(*s.wh_receipt_tiers[0])
+
+
+@query(LINE, DATED + "s_lines", **CLOSED)
+def prefer_adjusted(s):
+    """Lines of all stages; items adjusted into stock keep only those lines."""
+    return inbound.stage_lines(s, AS_OF)
+
+
+@query(LINE + " status_id:s", "SELECT * REPLACE (CAST(last_date AS DATE) AS last_date), left(status, 1) AS status_id FROM s_lines", **BY_TYPE)
+def inbound_by_receipt_type(s):
+    """The variant that carries the receipt type and skips receipts already in stock."""
+    return inbound.inbound_by_receipt_type(s, AS_OF)
+
+
+@query(
+    "item:s status:s notes1:s title_lines:i company_lines:i best_status:s dup_line:s",
+    "SELECT *, n_title AS title_lines, n_mark AS company_lines, best AS best_status FROM enriched", **ENRICHED,
+)
+def dup_verdict(s):
+    return enriched(s)
+
+
+@query(
+    "item:s status:s notes1:s qty:i rpt_it:s order_class:s rord_grp:s days_cr_ros:d days_at_ros:d", "SELECT * FROM enriched", **ENRICHED,
+)
+def days_of_supply(s):
+    return enriched(s)
+
+
+@query(
+    "item:s status:s notes1:s rpt_it_rank:i",
+    """SELECT item, status, notes1, CASE WHEN status_id > 2 AND rpt_it <> 'new' THEN row_number() OVER (PARTITION BY rpt_it
+        ORDER BY reorder_marks DESC, item, status, notes1) END AS rpt_it_rank FROM enriched""", **ENRICHED,
+)
+def rank_in_report_item(s):
+    return inbound.rank_in_report_item(enriched(s))
+
+
+@query("rpt_it:s sugg_order_qty:i sugg_order_locs:i", "SELECT * FROM sugg", **ENRICHED)
+def suggested_orders(s):
+    return inbound.suggested_orders(s.suggested_orders, *SETS)
+
+
+def kind_of(name: str) -> str:
+    if name in ("cost", "price") or name.endswith("ros"):
+        return f"{name}:d"
+    whole = name in NUMBERS or name.endswith(("qty", "locs", "lines"))
+    return f"{name}:{'i' if whole else 's'}"
+
+
+@query(
+    " ".join(kind_of(name) for name in inbound.DETAIL),
+    "SELECT e.*, sugg_order_qty, sugg_order_locs FROM enriched e LEFT JOIN sugg USING (rpt_it) WHERE dup_line = 'ok'", **ENRICHED,
+)
+def inbound_detail_lines(s):
+    detail, _ = inbound.inbound(s, AS_OF)
+    return detail
+
+
+STEPS = {"stock": "status_id > 2", "receipt": "status_id = 2", "order": "status_id = 1"}
+CELLS = {}
+for step, test in STEPS.items():
+    for name, group in (("cdc", "CDC"), ("tro", "TRO")):
+        here = f"e.rord_grp = '{group}' AND {test}"
+        CELLS[f"{name}_{step}_qty"] = f"sum(CASE WHEN {here} THEN qty ELSE 0 END)"
+        CELLS[f"{name}_{step}_items"] = f"count(DISTINCT CASE WHEN {here} THEN item END)"
+    here = f"e.rord_grp = 'TRO' AND {test} AND order_class = 'init'"
+    CELLS[f"init_{step}_qty"] = f"sum(CASE WHEN {here} THEN qty ELSE 0 END)"
+    CELLS[f"init_{step}_items"] = f"count(DISTINCT CASE WHEN {here} THEN item END)"
+
+
+@query(
+    "cap:s secn:s " + " ".join(f"{n}:i" for n in CELLS),
+    "SELECT g.cap, g.secn, " + ", ".join(f"{sql} AS {n}" for n, sql in CELLS.items())
+    + """ FROM (SELECT cap, secn, section FROM sections UNION ALL SELECT 'zzz', '--SectionMissing--', NULL) g
+        LEFT JOIN (SELECT * EXCLUDE (cap) FROM enriched WHERE dup_line = 'ok') e ON g.section IS NOT DISTINCT FROM e.secn GROUP BY 1, 2""", **ENRICHED,
+)
+def inbound_section_overview(s):
+    _, by_section = inbound.inbound(s, AS_OF)
+    return by_section

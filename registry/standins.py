@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfweek.functions.dates import week_start, with_year_week
 from shelfweek.functions.measures import MONEY
+from shelfweek.plans.merged_rates import merged_rates
 from shelfweek.sources.tables import Sources, union_tiers
 
 AS_OF = date(2001, 11, 11)
@@ -552,6 +553,11 @@ def _suggested_orders(s):
         F.when(F.col("l_tax") > 0.01, F.col("q")).otherwise(0).alias("order_qty"))
 
 
+def _rates(s):
+    """Merged rates per report item, as the rate job stores them."""
+    return merged_rates(s, AS_OF, months=9, years=6)
+
+
 # --- stored facts for the reports -----------------------------------------------------------------
 
 def _fact_lines(s):

@@ -15,7 +15,7 @@ from shelfweek.plans import online, weekly
 from shelfweek.sources.tables import Sources
 
 KEYS = ["used_new", "src", "min_dt", "loc_no", "rord_grp", "vendor", "cap", "secn", "site"]
-LOAD_KEYS = ["yr", "wk", "loc_no", "src", "vendor", "secn", "site"]
+LOAD_KEYS = ["min_dt", "loc_no", "src", "vendor", "secn", "site"]
 MEASURES = ["sold_ords", "sold_its", "sold_qty", "sold_cost", "sold_val", "sold_list", "sold_fee", "rfnd_ords",
             "rfnd_its", "rfnd_amt"]
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterable
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -93,7 +94,7 @@ def _rename(spark: SparkSession, source: str, target: str) -> None:
 def read_or_empty(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """The stored table, or no rows of the same schema before the first load."""
     if _exists(spark, path):
-        return spark.read.parquet(path)
+        return spark.read.schema(like.schema).parquet(path)
     return spark.createDataFrame([], like.schema)
 
 
@@ -126,14 +127,20 @@ def reload(df: DataFrame, path: str, columns: Iterable[str]) -> None:
     atomic_write(df.select(*columns), path)
 
 
-def append_new(df: DataFrame, path: str, keys: list[str], partition_by: Iterable[str] = ()) -> None:
+def append_new(df: DataFrame, path: str, keys: list[str], window: tuple[date, date] | None = None,
+               week: str = "min_dt") -> None:
     """Append the rows whose key is not stored yet; null keys match each other, so a rerun adds nothing.
 
-    The new rows are written by one job, which the file committer publishes as a whole.
+    The table is partitioned by week. With the window of the new rows only their weeks of the stored table are
+    read. The rebalance hint gives each week few files and still splits a large week over tasks. One job
+    writes the new rows, which the file committer publishes as a whole.
     """
     spark = df.sparkSession
-    new_rows = only_new(read_or_empty(spark, path, df), df, keys)
-    new_rows.write.mode("append").partitionBy(*partition_by).parquet(path)
+    stored = read_or_empty(spark, path, df)
+    if window is not None:
+        stored = stored.where((F.col(week) >= F.lit(window[0])) & (F.col(week) < F.lit(window[1])))
+    new_rows = only_new(stored, df, keys)
+    new_rows.hint("rebalance", week).write.mode("append").partitionBy(week).parquet(path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
