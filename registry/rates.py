@@ -11,6 +11,7 @@ from registry.oracle_tables import M, code, sunday, wk, yr
 from registry.standins import facts
 from shelfweek.plans import merged_rates as mr
 from shelfweek.plans import section_rates as sr
+from shelfweek.sources.tables import staged
 
 AS_OF = date(2001, 11, 11)
 LAST = AS_OF - timedelta(weeks=1)
@@ -120,7 +121,7 @@ def expected_sales_yoy(s):
 )
 def section_rate_output(s):
     """The rate report of the last week."""
-    return sr.section_rates(s, facts(s), AS_OF, date(1995, 1, 1))["rates"]
+    return sr.rates_output(sr.expected_sales(sr.rate_momentum(sr.rates(staged(series(s), "channel-series")), 2000), LAST))
 
 
 SHIPS = {
@@ -213,7 +214,11 @@ ITEMS = {
 
 
 def stale(s):
-    return mr.stale_items(s.ledger, s.ledger_items, CUTOFF)
+    return mr.stale_items(cells(s), s.ledger_items, CUTOFF)
+
+
+def cells(s):
+    return mr.ledger_cells(s.ledger, AS_OF, MONTHS)
 
 
 def free_stock(s):
@@ -249,7 +254,7 @@ def alltime_retail_rates(s):
     "SELECT * REPLACE (CAST(min_ship_dt AS DATE) AS min_ship_dt) FROM current_rates", **ITEMS,
 )
 def current_retail_rates(s):
-    return mr.current_retail_rates(s.ledger, s.ledger_items, s.item_master, free_stock(s), stale(s), AS_OF, MONTHS)
+    return mr.current_retail_rates(cells(s), s.ledger_items, s.item_master, free_stock(s), stale(s), AS_OF, MONTHS)
 
 
 RATE_COLUMNS = ("rord_grp:s cap:s goal_grp:s secn:s rpt_it:s active:s min_ship_dt:s active_days:d days_diff:d lgi:i cr_ros:d at_zid_ros:d at_ros:d "

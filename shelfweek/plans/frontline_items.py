@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfweek.functions.dates import week_bounds, with_week, with_year_week, within
+from shelfweek.functions.dates import week_bounds, with_year_week, within
 from shelfweek.functions.measures import MONEY, any_nonzero, money, total, total_if
 from shelfweek.functions.text import ean
 from shelfweek.operators.joins import present
@@ -37,17 +37,14 @@ def fold_web_sales(src: Sources, goods: DataFrame, categories: list[str], start:
     """Web sales and refunds per week, store and item; the refunded amount lowers the sold amount."""
     orders = online.web_orders(src).withColumn("item_code", online.item_of_sku(F.col("sku")))
     orders = orders.where(F.col("item_code").isNotNull())
-    sold = with_week(orders.where(within(F.col("order_date"), start, end)), "order_date").withColumn(
-        "dir", F.lit(online.SALE)
+    ordered, changed = F.col("order_date"), F.col("site_last_modified_date")
+    events = online.dated_events(
+        orders, F.lit(online.WEB), {"at": ordered}, {"at": changed},
+        within(ordered, start, end), (F.col("item_refund_amount") > 0) & within(changed, start, end),
     )
-    refunded = orders.where(
-        (F.col("item_refund_amount") > 0) & within(F.col("site_last_modified_date"), start, end)
-    )
-    refunded = with_week(refunded, "site_last_modified_date").withColumn("dir", F.lit(online.REFUND))
     # Marked down depends on the list price, so lines are first summed per item and price paid.
     cells = (
-        sold.unionByName(refunded)
-        .groupBy("min_dt", "loc_no", "item_code", "item_price", "dir")
+        events.groupBy("min_dt", "loc_no", "item_code", "item_price", "dir")
         .agg(
             total(F.col("quantity")).alias("qty"), total(F.col("extended_amount")).alias("amount"),
             total(F.col("shipping_amount")).alias("fee"), total(F.col("item_refund_amount")).alias("refund"),
@@ -103,6 +100,7 @@ def weekly_frontline_items(src: Sources, as_of: date | None = None, weeks: int =
         sum((F.col(name) for name in ("rcv_qty", "rfi_qty", "in_sts_qty", "out_sts_qty", "rtn_qty")),
             F.col("ship_qty")),
     )
+    kept = acts
     for column in ("loc_no", "item_code"):
-        acts = present(acts, weekly.active_only(acts, column, volume), [column])
-    return with_year_week(acts).select("yr", "wk", *KEYS, *MEASURES)
+        kept = present(kept, weekly.active_only(acts, column, volume), [column])
+    return with_year_week(kept).select("yr", "wk", *KEYS, *MEASURES)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from shelfweek import fixed_values as fv
 from shelfweek.functions.measures import rate, total, total_if, zero
 from shelfweek.functions.text import drop_last_three, filled, pad_code, varchar
-from shelfweek.operators.joins import absent, key_union, look_up, nearest_in_time, not_in, present, with_group_stats
+from shelfweek.operators.joins import absent, key_union, look_up, nearest_in_time, not_in, present
 from shelfweek.plans.merged_rates import available_stock
 from shelfweek.plans.online_new import sections_of
 from shelfweek.sources.tables import Sources, staged
@@ -230,23 +230,39 @@ def dup_verdict(status: Column, titles: Column, titles_per_company: Column, best
     )
 
 
-def with_title_counts(lines: DataFrame) -> DataFrame:
-    """Lines per title and per title and company mark, and the title's earliest stage."""
-    counted = with_group_stats(
-        lines, ["title"], title_lines=F.count("*"), best_status=F.min(F.left("status", F.lit(2)))
+def with_line_counts(lines: DataFrame) -> DataFrame:
+    """Lines per item, per title and per title and company mark, and the title's earliest stage.
+
+    A title (or its absence) may hold a large share of the lines, so the counts are grouped and looked up.
+    """
+    per_item = lines.groupBy("item").agg(F.count("*").alias("item_lines"))
+    per_title = lines.groupBy("title").agg(
+        F.count("*").alias("title_lines"), F.min(F.left("status", F.lit(2))).alias("best_status")
     )
-    return with_group_stats(counted, ["title", "company_mark"], company_lines=F.count("*"))
+    per_company = lines.groupBy("title", "company_mark").agg(F.count("*").alias("company_lines"))
+    counted = look_up(lines, per_item, ["item"])
+    counted = look_up(counted, per_title, ["title"], null_safe=True)
+    return look_up(counted, per_company, ["title", "company_mark"], null_safe=True)
 
 
-def enrich_lines(lines: DataFrame, src: Sources) -> DataFrame:
-    """Lines with product, section, scheme, order and rate columns; each lookup has one row per key."""
-    counted = with_group_stats(lines, ["item"], item_lines=F.count("*"))
+def named_lines(lines: DataFrame, src: Sources) -> DataFrame:
+    """Lines with their warehouse and product columns."""
     wh = src.wh_item.select("item", "item_style", F.col("description").alias("title"),
                             F.col("user_def4").alias("cost"), F.col("net_price").alias("price"))
     goods = src.products.select(
         "item_code", F.col("user_char15").alias("company_mark"), "purchase_from_vendor_id", "isbn", "upc",
         "reorderable", "reorderable_item", F.trim("section_code").alias("section"),
     )
+    coded = lines.withColumn("item_code", pad_code(F.col("item")))
+    return coded.join(wh, "item", "left").join(goods, "item_code", "left")
+
+
+def enrich_lines(lines: DataFrame, src: Sources) -> DataFrame:
+    """Lines with product, section, scheme, order and rate columns; each lookup has one row per key.
+
+    The named lines are staged, because the counts read them again.
+    """
+    counted = with_line_counts(staged(named_lines(lines, src), "named-lines"))
     orders = src.order_detail.groupBy("item_code", "po_number").agg(
         F.max("special_instructions").alias("spec_instr")
     )
@@ -259,8 +275,7 @@ def enrich_lines(lines: DataFrame, src: Sources) -> DataFrame:
         F.col("scheme_id").alias("default_scheme"), F.col("total_scheme_qty").cast("int").alias("secn_scheme_qty")
     )
     rates = src.rates.drop("rord_grp", "cap", "goal_grp", "secn", "active").withColumnRenamed("rpt_it", "rate_key")
-    joined = counted.withColumns({"item_code": pad_code(F.col("item")), "po_number": F.left("notes1", F.lit(6))})
-    joined = joined.join(wh, "item", "left").join(goods, "item_code", "left")
+    joined = counted.withColumn("po_number", F.left("notes1", F.lit(6)))
     joined = joined.join(orders, ["item_code", "po_number"], "left")
     for side in (new_items, old_items, master):
         joined = joined.join(side, "item_code", "left")
@@ -293,7 +308,7 @@ def enrich_lines(lines: DataFrame, src: Sources) -> DataFrame:
         }
     )
     verdict = dup_verdict(F.col("status"), F.col("title_lines"), F.col("company_lines"), F.col("best_status"))
-    return with_title_counts(enriched).withColumn("dup_line", verdict)
+    return enriched.withColumn("dup_line", verdict)
 
 
 def rank_in_report_item(lines: DataFrame) -> DataFrame:

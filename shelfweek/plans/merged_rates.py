@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfweek import fixed_values as fv
@@ -13,7 +13,7 @@ from shelfweek.functions.measures import RATE, rate, total, total_if, zero
 from shelfweek.functions.text import pad_code
 from shelfweek.operators.joins import absent, key_union, present
 from shelfweek.plans.online_new import sections_of
-from shelfweek.sources.tables import Sources
+from shelfweek.sources.tables import Sources, staged
 
 DAYS = "decimal(19,5)"
 # Days per month of a current rate, and the span in hours of an item that shipped only once.
@@ -74,8 +74,10 @@ def wholesale_rates(lines: DataFrame, items: DataFrame, stock: DataFrame, as_of:
         F.min("shipped").alias("first"), F.max("shipped").alias("last"), F.sum("total_qty").alias("qty"),
         total_if(current, F.col("total_qty")).alias("cr_qty"), F.max(current).alias("is_current"),
     )
-    old = per_buyer.groupBy("item").agg(F.min("first").alias("first")).where(F.col("first") < cutoff)
-    kept = absent(per_buyer, old, ["item"]).withColumn("item_code", pad_code(F.col("item")))
+    # After the grouping an item has one row per buyer, so this window stays small and saves a second scan.
+    first_ever = F.min("first").over(Window.partitionBy("item"))
+    kept = per_buyer.withColumn("first_ever", first_ever).where(F.col("first_ever") >= cutoff)
+    kept = kept.withColumn("item_code", pad_code(F.col("item")))
     in_stock = stock.select("item", F.lit(True).alias("in_stock"))
     named = kept.join(items.select("item_code", "rpt_it"), "item_code", "left").join(in_stock, "item", "left")
     per_item = (
@@ -101,9 +103,24 @@ def wholesale_rates(lines: DataFrame, items: DataFrame, stock: DataFrame, as_of:
     )
 
 
-def stale_items(ledger: DataFrame, items: DataFrame, cutoff: date) -> DataFrame:
+def ledger_cells(ledger: DataFrame, as_of: date, months: int = 3) -> DataFrame:
+    """The movement ledger per item and store: first and last movement, shipped and sold quantities.
+
+    Sales are negative in the ledger.
+    """
+    current = F.col("date") > F.lit(months_before(as_of, months))
+    sent, sold = F.col("xacn").isin(*fv.OUTBOUND_LEDGER_KINDS), F.col("xacn").isin(*fv.SALE_LEDGER_KINDS)
+    return ledger.groupBy("item_code", "item", "loc").agg(
+        F.min("date").alias("first"), F.max("date").alias("last"), F.max(current).alias("is_current"),
+        total_if(sent & current, F.col("qty")).alias("cr_ship_qty"), total_if(sent, F.col("qty")).alias("at_ship_qty"),
+        total_if(sold & current, -F.col("qty")).alias("cr_sold_qty"),
+        total_if(sold, -F.col("qty")).alias("at_sold_qty"),
+    )
+
+
+def stale_items(cells: DataFrame, items: DataFrame, cutoff: date) -> DataFrame:
     """Report items without a movement since the cutoff."""
-    moved = ledger.groupBy("item_code").agg(F.max("date").alias("last"))
+    moved = cells.groupBy("item_code").agg(F.max("last").alias("last"))
     per_item = moved.join(items.select("item_code", "rpt_it"), "item_code").groupBy("rpt_it").agg(
         F.max("last").alias("last")
     )
@@ -132,18 +149,10 @@ def alltime_retail_rates(base: DataFrame, equivs: DataFrame, items: DataFrame, s
     )
 
 
-def current_retail_rates(ledger: DataFrame, items: DataFrame, master: DataFrame, stock: DataFrame, stale: DataFrame,
+def current_retail_rates(cells: DataFrame, items: DataFrame, master: DataFrame, stock: DataFrame, stale: DataFrame,
                          as_of: date, months: int = 3) -> DataFrame:
-    """Shipped and sold quantities and rates per report item from the movement ledger (sales are negative there)."""
-    current = F.col("date") > F.lit(months_before(as_of, months))
-    sent, sold = F.col("xacn").isin(*fv.OUTBOUND_LEDGER_KINDS), F.col("xacn").isin(*fv.SALE_LEDGER_KINDS)
-    per_store = ledger.groupBy("item_code", "item", "loc").agg(
-        F.min("date").alias("first"), F.max("date").alias("last"), F.max(current).alias("is_current"),
-        total_if(sent & current, F.col("qty")).alias("cr_ship_qty"), total_if(sent, F.col("qty")).alias("at_ship_qty"),
-        total_if(sold & current, -F.col("qty")).alias("cr_sold_qty"),
-        total_if(sold, -F.col("qty")).alias("at_sold_qty"),
-    )
-    listed = present(per_store.withColumnRenamed("item_code", "_code").withColumnRenamed("item", "item_code"),
+    """Shipped and sold quantities and rates per report item from the ledger cells."""
+    listed = present(cells.withColumnRenamed("item_code", "_code").withColumnRenamed("item", "item_code"),
                      master, ["item_code"]).drop("item_code").withColumnRenamed("_code", "item_code")
     in_stock = stock.select(pad_code(F.col("item")).alias("item_code"), F.lit(True).alias("in_stock")).distinct()
     named = listed.join(items.select("item_code", "rpt_it"), "item_code").join(in_stock, "item_code", "left")
@@ -224,12 +233,19 @@ def merge_rates(items: DataFrame, alltime: DataFrame, current: DataFrame, wholes
 
 
 def merged_rates(src: Sources, as_of: date, months: int = 3, years: int = 15) -> DataFrame:
-    stock = available_stock(src.wh_inventory, src.wh_location)
-    stale = stale_items(src.ledger, src.ledger_items, months_before(as_of, 12 * years))
-    wholesale = wholesale_rates(wholesale_lines(*src.wh_shipment_tiers), src.ledger_items, stock, as_of, months, years)
-    alltime = alltime_retail_rates(src.order_base, src.order_equivs, src.ledger_items, stale, as_of, months)
-    current = current_retail_rates(
-        src.ledger, src.ledger_items, src.item_master, stock, stale, as_of, months
+    """Each side is aggregated per report item and staged, because the item universe and the merge both read it."""
+    items = src.ledger_items
+    stock = staged(available_stock(src.wh_inventory, src.wh_location), "free-stock")
+    cells = staged(ledger_cells(src.ledger, as_of, months), "ledger-cells")
+    stale = stale_items(cells, items, months_before(as_of, 12 * years))
+    wholesale = staged(
+        wholesale_rates(wholesale_lines(*src.wh_shipment_tiers), items, stock, as_of, months, years), "wholesale-rates"
+    )
+    alltime = staged(
+        alltime_retail_rates(src.order_base, src.order_equivs, items, stale, as_of, months), "alltime-rates"
+    )
+    current = staged(
+        current_retail_rates(cells, items, src.item_master, stock, stale, as_of, months), "current-rates"
     )
     universe = key_union(["rpt_it"], wholesale, alltime, current)
     return merge_rates(section_items(universe, src, stock), alltime, current, wholesale)

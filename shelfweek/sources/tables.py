@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from datetime import date
 from functools import reduce
 
@@ -49,23 +51,38 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_AREA: ContextVar[str | None] = ContextVar("staging area", default=None)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Staged tables written inside the block live in a folder of their own, which goes when the block ends.
+
+    Every result that reads them must be written inside the block. Staged tables of other runs stay untouched.
+    """
+    area = f"{shared_folder(spark)}/shelfweek-staged/{uuid.uuid4().hex}"
+    token = _AREA.set(area)
+    try:
+        yield
+    finally:
+        _AREA.reset(token)
+        _delete(spark, area)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write an aggregated frame that several outputs read, and scan it back.
 
     It cuts lineage, survives the loss of executors, gives each reader its own column pruning and hands
-    the optimizer true sizes. Use it after aggregation only, never on raw lines.
+    the optimizer true sizes. Use it after aggregation only, never on raw lines. Outside a ``staging`` block
+    the table stays in the shared folder until that is cleaned.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/shelfweek-staged/{label}-{uuid.uuid4().hex}"
+    area = _AREA.get() or f"{shared_folder(spark)}/shelfweek-staged/{spark.sparkContext.applicationId}"
+    path = f"{area}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(spark: SparkSession) -> None:
-    """Remove staged tables once every result that reads them has been written."""
-    _delete(spark, f"{shared_folder(spark)}/shelfweek-staged")
-
-
 # --- writes -------------------------------------------------------------------------------------
 
 def _hadoop(spark: SparkSession, path: str):
