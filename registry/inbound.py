@@ -4,10 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import functions as F
-
 from registry.base import query
-from registry.oracle_tables import M
 from registry.rates import ITEMS, R
 from shelfweek.plans import inbound
 from shelfweek.plans.merged_rates import available_stock

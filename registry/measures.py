@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registry.base import query
-from registry.oracle_tables import M, code, sunday
+from registry.oracle_tables import M, code
 from registry.standins import AS_OF, ONLINE_AS_OF, ONLINE_WEEKS, WEEKS
 from shelfweek.functions.dates import week_bounds
 from shelfweek.functions.measures import age_bucket_sums, any_nonzero, net, net_marked_down, plausible_cost, rate, total

@@ -7,10 +7,9 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from registry.base import query
-from registry.oracle_tables import code, sunday, wk, yr
+from registry.oracle_tables import code, wk, yr
 from registry.standins import sales_by_year
-from shelfweek.functions.dates import week_start, with_week, with_year_week
-from shelfweek.functions.measures import total
+from shelfweek.functions.dates import with_year_week
 from shelfweek.operators import joins, sets, windows
 from shelfweek.plans import weekly
 from shelfweek.plans.item_master import classified_catalogue, excluded_items

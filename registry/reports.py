@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import functions as F
-
 from registry.base import query
 from registry.oracle_tables import M, sunday, wk, yr
 from registry.standins import facts

@@ -168,11 +168,14 @@ def nearest_in_time(
     timeline = candidates.select(key, "_hour", F.struct("_hour", "_choice").alias("_seen")).unionByName(
         asked.select(key, "_hour", F.lit(None).cast(_struct_type(candidates)).alias("_seen"))
     )
-    order = Window.partitionBy(key).orderBy("_hour")
+    # Two running frames, one per direction: a frame open towards the end would be recomputed for every row.
+    running = (Window.unboundedPreceding, 0)
     seen = timeline.withColumns(
         {
-            "_before": F.last("_seen", ignorenulls=True).over(order.rangeBetween(Window.unboundedPreceding, 0)),
-            "_after": F.first("_seen", ignorenulls=True).over(order.rangeBetween(0, Window.unboundedFollowing)),
+            side: F.last("_seen", ignorenulls=True).over(
+                Window.partitionBy(key).orderBy(order).rangeBetween(*running)
+            )
+            for side, order in (("_before", F.asc("_hour")), ("_after", F.desc("_hour")))
         }
     ).where(F.col("_seen").isNull())
     sides = F.array_compact(

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfweek import fixed_values as fv
 from shelfweek.functions.dates import week_boundaries, with_fiscal
-from shelfweek.functions.measures import MONEY, money, total, total_if
+from shelfweek.functions.measures import MONEY, total, total_if
 from shelfweek.functions.text import fold_case
 from shelfweek.operators.sets import missing_dates
 from shelfweek.plans.online_new import sections_of

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfweek import fixed_values as fv
 from shelfweek.functions.dates import hour_boundaries, months_before
-from shelfweek.functions.measures import RATE, rate, total, total_if, zero
+from shelfweek.functions.measures import RATE, rate, total_if, zero
 from shelfweek.functions.text import pad_code
 from shelfweek.operators.joins import absent, key_union, present
 from shelfweek.plans.online_new import sections_of

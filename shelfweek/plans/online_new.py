@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfweek.functions.dates import week_bounds, with_year_week
-from shelfweek.functions.measures import MONEY, money, total, total_if, zero
+from shelfweek.functions.measures import money, total, total_if
 from shelfweek.functions.text import varchar
 from shelfweek.operators.joins import present
 from shelfweek.plans import online, weekly

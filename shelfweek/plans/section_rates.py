@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from shelfweek import fixed_values as fv
 from shelfweek.functions.dates import (
-    last_sunday, retail_year_week, week_boundaries, week_table, with_week, within,
+    last_sunday, retail_year_week, week_boundaries, week_table, with_week,
 )
-from shelfweek.functions.measures import RATE, rate, total, total_if, zero
+from shelfweek.functions.measures import RATE, rate, total, total_if
 from shelfweek.functions.text import pad_code
 from shelfweek.operators.joins import attach, dense_spine, prior_year
 from shelfweek.operators.windows import deltas, frame_rate, leading_rate, looks_ahead, series, trailing_rate

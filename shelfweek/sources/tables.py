@@ -10,7 +10,7 @@ from contextvars import ContextVar
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfweek.operators.joins import absent, present
@@ -160,8 +160,11 @@ def append_new(df: DataFrame, path: str, keys: list[str], window: tuple[date, da
     new_rows.hint("rebalance", week).write.mode("append").partitionBy(week).parquet(path)
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True)
+def export_csv(df: DataFrame, path: str, order_by: Iterable[str | Column] = ()) -> None:
+    """Report files for users, sorted over all files where an order is given."""
+    columns = list(order_by)
+    ordered = df.orderBy(*columns) if columns else df
+    ordered.write.mode("overwrite").csv(path, header=True)
 
 
 # --- row changes as frame to frame functions ------------------------------------------------------
