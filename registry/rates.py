@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from registry.base import query
 from registry.oracle_tables import code, sunday, wk, yr
 from registry.standins import facts
+from shelfweek.operators.joins import reconcile
 from shelfweek.plans import merged_rates as mr
 from shelfweek.plans import section_rates as sr
 from shelfweek.sources.tables import staged
@@ -321,4 +322,4 @@ def date_fence(s):
     fence = sr.date_fence(s.part.sparkSession, AS_OF)
     held = s.fact_lines.groupBy("min_dt").agg(F.count("*").alias("n")).agg(
         F.max("min_dt").alias("last_dt"), F.count("*").alias("weeks"), F.sum("n").alias("lines"))
-    return fence.join(held, "last_dt")
+    return reconcile(fence, held, ["last_dt"])
