@@ -25,7 +25,6 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = get_session(
         "bench", f"local[{cpus}]", spark__ui__enabled="false", spark__driver__memory="16g", spark__sql__shuffle__partitions=cpus,
-        spark__sql__adaptive__coalescePartitions__minPartitionSize="128k",
     )
     spark.sparkContext.setLogLevel("ERROR")
     QUERIES["weekly_sales"](spark, root).write.format("noop").mode("overwrite").save()  # warm the virtual machine
