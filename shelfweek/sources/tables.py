@@ -43,9 +43,16 @@ def literal_rows(spark: SparkSession, rows, schema: str) -> DataFrame:
 # --- staged tables ------------------------------------------------------------------------------
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one is used only where none is set, as in tests."""
+    """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it.
+
+    On a cluster a missing setting is an error: an executor's own disk is not seen by the others. Only a single
+    local machine may fall back to a temporary folder.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="shelfweek-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
