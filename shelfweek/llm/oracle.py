@@ -5,6 +5,7 @@ from __future__ import annotations
 from shelfweek.llm import curriculum as mix
 from shelfweek.llm import line_frequency as lines
 from shelfweek.llm import secret_scan as scan
+from shelfweek.llm import url_rules as urls
 
 W = r"[^\x20\x09-\x0D]+"
 
@@ -102,3 +103,15 @@ select doc_id, size::bigint as size, source_size, target, taken::bigint as taken
   case when taken > 0 then least(t1, t0 + 2 * (share - before) / (f0 + sqrt(greatest(0, f0 * f0 + 2 * (f1 - f0) / (t1 - t0) * (share - before))))) end as position
 from timed where k = 1
 """
+
+_RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in urls.RULES)
+
+URLS = rf"""
+with pages_ as (select page_id, coalesce(url, '') as url, row_number() over () as r from pages),
+split as (select page_id, r, regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1) as h, regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1) as path from pages_),
+named as (select page_id, r, path, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host from split),
+rules as (select * from (values {_RULES}) as t(rh, rp, v)),
+hits as (select r, rh || rp as rule, v from named, rules where (host = rh or suffix(host, '.' || rh)) and prefix(path, rp)),
+best as (select r, arg_max(rule, len(rule)) as rule, arg_max(v, len(rule)) as v from hits group by r)
+select page_id, host, path, rule, coalesce(v, '{urls.DEFAULT}') as verdict from named left join best using (r)
+"""
