@@ -90,7 +90,7 @@ weighed as (select *, {_WEIGHT} as weight, rank % {len(mix.RAMPS)} as ramp from
 leveled as (select *, most / weight as level from weighed),
 shared as (select *, ((sum(source_size) over ())::double - coalesce(sum(most) over before, 0)) / (sum(weight) over () - coalesce(sum(weight) over before, 0)) as shared
   from leveled window before as (order by level, source nulls last rows between unbounded preceding and 1 preceding)),
-targets as (select source, source_size, ramp, least(most, weight * (select coalesce(min(shared), 0) from shared where shared <= level)) as target from shared),
+targets as (select source, source_size, ramp, least(most, weight * (select coalesce(arg_min(shared, level), 0) from shared where shared <= level)) as target from shared),
 placed as (select d.*, t.source_size, t.target, t.ramp, sum(size) over (partition by d.source order by o, doc_id, size rows unbounded preceding) - size as start,
   least(round(target)::bigint, {mix.CAP} * source_size) as words from docs d join targets t on d.source is not distinct from t.source),
 took as (select *, case when source_size > 0 then words // source_size else 0 end as passes from placed),
