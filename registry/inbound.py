@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
+from pyspark.sql import functions as F
+
 from registry.base import query
+from registry.oracle_tables import po
 from registry.rates import ITEMS, R
 from shelfweek.plans import inbound
 from shelfweek.plans.merged_rates import available_stock
@@ -52,6 +55,9 @@ def stages(receipt_stamp: str, receipt_where: str, by_type: bool, register: bool
 
 CLOSED = stages("close_date", "close_date IS NOT NULL", by_type=False, register=True, skip_stocked=False)
 BY_TYPE = stages("o_orderdate", "true", by_type=True, register=False, skip_stocked=True)
+# The stand-ins number orders with any number of digits, so orders are matched by their whole number.
+WHOLE_NUMBERS = inbound.OrderNumbers(in_register=lambda order: F.substring(order, 2, 2**31 - 1),
+                                     in_notes=lambda note: F.regexp_replace(note, r"[.][0-9]+$", ""))
 LINE = "item:s scheme_id:s qty:i status:s last_date:s notes1:s notes2:s notes3:s"
 DATED = "SELECT * REPLACE (CAST(last_date AS DATE) AS last_date) FROM "
 NUMBERS = ("lgi", "cr_sold_qty", "at_sold_qty", "cr_locs", "at_locs", "cr_ros", "at_ros", "cr_wh_ros", "at_wh_ros", "cr_wh_custs", "at_wh_custs")
@@ -63,12 +69,12 @@ ENRICHED = {
         coalesce(n.rpt_it, h.rpt_it, 'new') AS rpt_it, coalesce(n.rpt_it, h.rpt_it, p.item_code) AS rate_key, CAST(left(status, 1) AS INTEGER) AS status_id
         FROM s_lines l JOIN products p ON p.item_code = lpad(l.item, 20, '0') JOIN item_master i ON i.item_code = p.item_code
         LEFT JOIN ledger_items n ON n.item_code = p.item_code LEFT JOIN reorder_items h ON h.item_code = p.item_code""",
-    "specials": """SELECT lpad(CAST(l_partkey AS VARCHAR), 20, '0') AS item_code, left('P' || lpad(CAST(l_orderkey AS VARCHAR), 6, '0'), 6) AS po_number,
+    "specials": f"""SELECT lpad(CAST(l_partkey AS VARCHAR), 20, '0') AS item_code, {po('l_orderkey')} AS po_number,
         max(l_linestatus || l_returnflag) AS spec_instr FROM lineitem GROUP BY ALL""",
     "e_rated": f"""SELECT e.*, s.cap, s.secn, s.section AS secn_scheme_id, schemes.scheme_qty AS secn_scheme_qty, 0 AS orig_scheme_qty, spec_instr,
         coalesce(nullif(isbn, ''), upc) AS title_code, {', '.join(f'coalesce(m.{n}, 0) AS {n}' for n in NUMBERS)}, m.cr_ros AS raw_cr, m.at_ros AS raw_at
         FROM e_rows e JOIN sections s ON s.section = e.section_code LEFT JOIN schemes ON schemes.scheme_id = s.section
-        LEFT JOIN specials x ON x.item_code = e.item_code AND x.po_number = left(e.notes1, 6)
+        LEFT JOIN specials x ON x.item_code = e.item_code AND x.po_number = regexp_replace(e.notes1, '[.][0-9]+$', '')
         LEFT JOIN merged_items m ON m.rpt_it = e.rate_key""",
     "enriched": f"""SELECT *, scheme_id AS orig_scheme_id, CAST(last_date AS DATE) AS status_dt,
         CASE WHEN at_locs + at_ros - at_wh_ros + lgi = 0 AND (status <> '4 - Waved Inv' OR rord_grp = 'CDC') THEN 'init' ELSE 'rord' END AS order_class,
@@ -90,7 +96,7 @@ def stock_and_waves(s):
 
 
 def enriched(s):
-    return inbound.enrich_lines(inbound.stage_lines(s, AS_OF), s)
+    return inbound.enrich_lines(inbound.stage_lines(s, AS_OF, rule=WHOLE_NUMBERS), s, WHOLE_NUMBERS)
 
 
 @query(
@@ -111,7 +117,7 @@ def stock_lines(s):
 @query(LINE, DATED + "s_po", **CLOSED)
 def open_po_lines(s):
     details = [d for _, d in s.wh_receipt_tiers]
-    return inbound.open_po_lines(*s.wh_po_tiers[0], details[:2], AS_OF, s.purchase_order_register)
+    return inbound.open_po_lines(*s.wh_po_tiers[0], details[:2], AS_OF, s.purchase_order_register, rule=WHOLE_NUMBERS)
 
 
 @query(LINE, DATED + "s_partial", **CLOSED)
@@ -128,7 +134,7 @@ def open_receipt_lines(s):
 @query(LINE, DATED + "s_lines", **CLOSED)
 def prefer_adjusted(s):
     """Lines of all stages; items adjusted into stock keep only those lines."""
-    return inbound.stage_lines(s, AS_OF)
+    return inbound.stage_lines(s, AS_OF, rule=WHOLE_NUMBERS)
 
 
 @query(LINE + " status_id:s", "SELECT * REPLACE (CAST(last_date AS DATE) AS last_date), left(status, 1) AS status_id FROM s_lines", **BY_TYPE)
@@ -178,7 +184,7 @@ def kind_of(name: str) -> str:
     "SELECT e.*, sugg_order_qty, sugg_order_locs FROM enriched e LEFT JOIN sugg USING (rpt_it) WHERE dup_line = 'ok'", **ENRICHED,
 )
 def inbound_detail_lines(s):
-    detail, _ = inbound.inbound(s, AS_OF)
+    detail, _ = inbound.inbound(s, AS_OF, rule=WHOLE_NUMBERS)
     return detail
 
 
@@ -201,5 +207,5 @@ for step, test in STEPS.items():
         LEFT JOIN (SELECT * EXCLUDE (cap) FROM enriched WHERE dup_line = 'ok') e ON g.section IS NOT DISTINCT FROM e.secn GROUP BY 1, 2""", **ENRICHED,
 )
 def inbound_section_overview(s):
-    _, by_section = inbound.inbound(s, AS_OF)
+    _, by_section = inbound.inbound(s, AS_OF, rule=WHOLE_NUMBERS)
     return by_section

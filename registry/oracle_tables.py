@@ -12,7 +12,7 @@ def money(x: str) -> str:
 
 
 def code(x: str, width: int = 20) -> str:
-    return f"lpad(CAST({x} AS VARCHAR), {width}, '0')"
+    return f"lpad(CAST({x} AS VARCHAR), CAST(greatest({width}, length(CAST({x} AS VARCHAR))) AS INTEGER), '0')"
 
 
 def sunday(x: str) -> str:
@@ -211,7 +211,7 @@ TABLES = {
         CASE WHEN section < 'Brand#2' THEN 'A' ELSE 'B' END AS cap, {case('section', SECN, 'section')} AS secn,
         CASE WHEN o THEN 'h' ELSE 'i' END AS site, {fact_sum('n', 'q')} AS sold_qty, {fact_sum('n AND m', 'v', M)} AS sold_cost,
         {fact_sum('n', 'v', M)} AS sold_val, {fact_sum('n', 'q', M)} AS sold_fee, {fact_sum('r', 'ln')} AS rfnd_ords,
-        {fact_sum('r AND m', 'v', M)} AS rfnd_amt FROM fact_lines WHERE ln = 7 GROUP BY ALL)""",
+        {fact_sum('r AND m', 'v', M)} AS rfnd_amt FROM fact_lines GROUP BY ALL)""",
     "fact_items": f"""SELECT {LABELS} FROM (SELECT min_dt, coalesce(nullif(isbn, ''), left(upc, 13)) AS ean, item_code, title,
         CASE WHEN product_type IN ('HBF', 'TRF', 'NBAF') THEN 'BS' ELSE 'Frln' END AS src, loc_no,
         {fact_sum('a', 'q')} AS ship_qty, {fact_sum('n', 'q')} AS rcv_qty, {fact_sum('o', 'q')} AS st_sold_qty,
@@ -237,7 +237,7 @@ def compose(columns: str, body: str, extra: dict[str, str] | None = None) -> str
                     needed.append(name)
 
     visit(body)
-    ctes = ", ".join(f"{name} AS ({tables[name]})" for name in needed)
+    ctes = ", ".join(f"{name} AS MATERIALIZED ({tables[name]})" for name in needed)
     picked = ", ".join(
         f"CAST({name} AS {KINDS[kind]}) AS {name}" for name, kind in (c.split(":") for c in columns.split())
     )

@@ -49,7 +49,9 @@ def money(column) -> Column:
 
 
 def padded(column: str, width: int) -> Column:
-    return F.lpad(F.col(column).cast("string"), width, "0")
+    """Digits with leading zeros; longer numbers keep all their digits."""
+    digits = F.col(column).cast("string")
+    return F.when(F.length(digits) >= width, digits).otherwise(F.lpad(digits, width, "0"))
 
 
 class Retail(Sources):
@@ -505,7 +507,7 @@ def _purchase_order_register(s):
 def _order_detail(s):
     return s.lineitem.select(
         padded("l_partkey", 20).alias("item_code"),
-        F.left(F.concat(F.lit("P"), padded("l_orderkey", 6)), F.lit(6)).alias("po_number"),
+        F.concat(F.lit("P"), padded("l_orderkey", 6)).alias("po_number"),
         F.concat("l_linestatus", "l_returnflag").alias("special_instructions"))
 
 
@@ -624,7 +626,7 @@ def _fact_online(s):
             F.when(used, "SIPS").when(F.col("product_type").isin("HBF", "TRF"), "BS").otherwise("DIPS").alias("src"),
             "loc_no", F.when(F.col("section") < "Brand#2", "A").otherwise("B").alias("cap"), secn.alias("secn"),
             F.when(F.col("o"), "h").otherwise("i").alias("site")]
-    rows = s.fact_lines.where("ln = 7").groupBy(*keys).agg(*_sums(
+    rows = s.fact_lines.groupBy(*keys).agg(*_sums(
         sold_qty=("n", "q", "bigint"), sold_cost=("n and m", "v", MONEY), sold_val=("n", "v", MONEY),
         sold_fee=("n", "q", MONEY), rfnd_ords=("r", "ln", "bigint"), rfnd_amt=("r and m", "v", MONEY)))
     return with_year_week(rows)
@@ -649,7 +651,8 @@ def facts(s: Retail) -> Sources:
 
 def sales_by_year(s: Retail) -> list[DataFrame]:
     year = F.year("business_date")
-    return [s.sales_line.where(year == y) for y in range(1995, 2002)]
+    first, last = s.sales_line.agg(F.min(year), F.max(year)).first()
+    return [s.sales_line.where(year == y) for y in range(first, last + 1)]
 
 
 __all__ = ["Retail", "facts", "sales_by_year", "union_tiers", "AS_OF", "WEEKS", "ONLINE_AS_OF", "ONLINE_WEEKS"]

@@ -56,21 +56,15 @@ def _slices(spread: int) -> Column:
     return F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))
 
 
-def look_up(df: DataFrame, stats: DataFrame, on: list[str], spread: int = SPREAD, null_safe: bool = False) -> DataFrame:
-    """Left join to a table with one row per key, safe for a key that holds a large share of ``df``.
+def look_up(df: DataFrame, stats: DataFrame, on: list[str], null_safe: bool = False) -> DataFrame:
+    """Left join to a table with one row per key.
 
-    The rows of one key are dealt over ``spread`` slices and the lookup row is copied into each, so no task
-    gets all of a hot key whether or not the optimizer notices the skew.
+    Only the join columns decide where a row goes, so unused columns stay prunable, and the lookup side travels once.
+    A key that holds a large share of ``df`` is split over tasks by adaptive execution, which copies just its lookup row.
     """
     carried = [name for name in stats.columns if name not in on]
-    right = stats.select(
-        *[F.col(name).alias(f"_r_{name}") for name in on],
-        *carried,
-        F.explode(_slices(spread)).alias("_r__slice"),
-    )
-    left = df.withColumn("_slice", _salt(df, spread))
-    joined = left.join(right, _matches(on, null_safe) & (F.col("_slice") == F.col("_r__slice")), "left")
-    return joined.select(*df.columns, *carried)
+    right = stats.select(*[F.col(name).alias(f"_r_{name}") for name in on], *carried)
+    return df.join(right, _matches(on, null_safe), "left").select(*df.columns, *carried)
 
 
 def with_group_stats(df: DataFrame, by: list[str], null_safe: bool = True, **stats: Column) -> DataFrame:
@@ -83,12 +77,13 @@ def with_group_stats(df: DataFrame, by: list[str], null_safe: bool = True, **sta
     return look_up(df, grouped, by, null_safe=null_safe)
 
 
-def all_pairs(left: DataFrame, right: DataFrame, spread: int = SPREAD) -> DataFrame:
+def all_pairs(left: DataFrame, right: DataFrame, spread: int | None = None) -> DataFrame:
     """Every row of ``left`` with every row of ``right``, for dimension frames whose grid is the result itself.
 
-    ``right`` is dealt into ``spread`` slices and ``left`` is copied once per slice, which turns the product
-    into a partitioned equi join.
+    ``right`` is dealt into slices and ``left`` is copied once per slice, which turns the product into a partitioned
+    equi join. There are twice as many slices as shuffle partitions, so the grid is built by the whole cluster.
     """
+    spread = spread or max(SPREAD, 2 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = right.withColumn("_slice", _salt(right, spread))
     copied = left.withColumn("_slice", F.explode(_slices(spread)))
     return copied.join(dealt, "_slice").drop("_slice")

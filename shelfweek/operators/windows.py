@@ -62,3 +62,10 @@ def keep_first(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
     rest = [name for name in df.columns if name not in by and name not in order]
     picked = df.groupBy(*by).agg(F.min(F.struct(*order, *rest)).alias("_row"))
     return picked.select(*[name if name in by else F.col(f"_row.{name}").alias(name) for name in df.columns])
+
+
+def first_row(df: DataFrame, key: str, *columns: str) -> DataFrame:
+    """One whole row per key: the least by the columns in order, nulls last."""
+    order = F.struct(*[part for name in columns for part in (F.col(name).isNull(), F.col(name).alias(name))])
+    best = df.groupBy(key).agg(F.min_by(F.struct(*columns), order).alias("_first"))
+    return best.select(key, *[F.col(f"_first.{name}").alias(name) for name in columns])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfweek.operators.windows import first_row
 from shelfweek import fixed_values as fv
 from shelfweek.functions.dates import week_boundaries, with_fiscal
 from shelfweek.functions.measures import MONEY, total, total_if
@@ -52,9 +53,7 @@ TIME = ["yr", "wk", "min_dt"]
 def labelled_facts(facts: Sources) -> dict[str, DataFrame]:
     """Each fact with its cap and section label; base inventory is labelled by product type."""
     sections = sections_of(facts.section_map).select("section", "cap", "secn")
-    subjects = facts.section_map.where(F.col("subj").isNotNull()).groupBy("subj").agg(
-        F.min("cap").alias("cap"), F.min("secn").alias("secn")
-    )
+    subjects = first_row(facts.section_map.where(F.col("subj").isNotNull()), "subj", "cap", "secn")
     types = facts.products.select("item_code", F.trim("product_type").alias("secn"), F.lit("").alias("cap"))
     return {
         "base_inventory": facts.base_inventory.join(types, "item_code"),

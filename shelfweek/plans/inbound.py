@@ -6,7 +6,8 @@ section. ``detail`` tables and header tables come in tiers (live, archive).
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
@@ -108,11 +109,25 @@ def _ordered_lines(headers: DataFrame, details: DataFrame) -> DataFrame:
     return lines.join(heads, "purchase_order_id")
 
 
-def verified(lines: DataFrame, register: DataFrame) -> DataFrame:
-    """Order lines the order register still lists, matched on the number's last six characters and padded code."""
+@dataclass(frozen=True)
+class OrderNumbers:
+    """How an order is named elsewhere: in the order register, by its purchase order id, and in the order details, by a line's notes.
+
+    The defaults take six characters, which is right only for numbers of that width; longer ones need rules of their own.
+    """
+
+    in_register: Callable[[Column], Column] = lambda order: F.right(order, F.lit(6))
+    in_notes: Callable[[Column], Column] = lambda note: F.left(note, F.lit(6))
+
+
+SIX_CHARACTERS = OrderNumbers()
+
+
+def verified(lines: DataFrame, register: DataFrame, rule: OrderNumbers = SIX_CHARACTERS) -> DataFrame:
+    """Order lines the order register still lists, matched on order number and padded code."""
     known = register.select(F.col("po_number").alias("po_key"), F.col("item_code").alias("item_key"))
     keyed = lines.withColumns(
-        {"po_key": F.right("purchase_order_id", F.lit(6)), "item_key": pad_code(F.col("item"))}
+        {"po_key": rule.in_register(F.col("purchase_order_id")), "item_key": pad_code(F.col("item"))}
     )
     return present(keyed, known, ["po_key", "item_key"]).drop("po_key", "item_key")
 
@@ -125,12 +140,12 @@ def received_order_ids(*receipt_details: DataFrame) -> DataFrame:
 
 
 def open_po_lines(headers: DataFrame, details: DataFrame, receipt_details: Iterable[DataFrame], as_of: date,
-                  register: DataFrame | None = None, by_type: bool = False) -> DataFrame:
+                  register: DataFrame | None = None, by_type: bool = False, rule: OrderNumbers = SIX_CHARACTERS) -> DataFrame:
     """Lines of the last year's orders that have no receipt at all."""
     recent = headers.where(F.col("created_date_time") >= F.lit(as_of - timedelta(days=PO_DAYS)))
     lines = _ordered_lines(recent, details)
     if register is not None:
-        lines = verified(lines, register)
+        lines = verified(lines, register, rule)
     open_lines = not_in(lines, "purchase_order_id", received_order_ids(*receipt_details))
     return _summed(open_lines, fv.STATUS_PO_ONLY, "total_quantity", "date_time_stamp", "purchase_order_id", by_type)
 
@@ -174,7 +189,7 @@ def prefer_adjusted(lines: DataFrame) -> DataFrame:
 
 
 def stage_lines(src: Sources, as_of: date, receipt_time: str = "close_date", by_type: bool = False,
-                register: bool = True, drop_stocked: bool = False) -> DataFrame:
+                register: bool = True, drop_stocked: bool = False, rule: OrderNumbers = SIX_CHARACTERS) -> DataFrame:
     """All stages in one layout, adjusted goods preferred."""
     stock = stock_with_waves(available_stock(src.wh_inventory, src.wh_location, in_transit=True),
                              src.wh_shipment_detail)
@@ -187,7 +202,7 @@ def stage_lines(src: Sources, as_of: date, receipt_time: str = "close_date", by_
     )
     stages = [
         open_po_lines(order_heads, order_lines, detail_tiers[:2], as_of,
-                      src.purchase_order_register if register else None, by_type),
+                      src.purchase_order_register if register else None, by_type, rule),
         unreceived_po_lines(order_heads, order_lines, live_receipts, detail_tiers, as_of, by_type),
         open_receipt_lines(live_receipts, live_details, stocked if drop_stocked else None, by_type),
     ]
@@ -257,7 +272,7 @@ def named_lines(lines: DataFrame, src: Sources) -> DataFrame:
     return coded.join(wh, "item", "left").join(goods, "item_code", "left")
 
 
-def enrich_lines(lines: DataFrame, src: Sources) -> DataFrame:
+def enrich_lines(lines: DataFrame, src: Sources, rule: OrderNumbers = SIX_CHARACTERS) -> DataFrame:
     """Lines with product, section, scheme, order and rate columns; each lookup has one row per key.
 
     The named lines are staged, because the counts read them again.
@@ -275,7 +290,7 @@ def enrich_lines(lines: DataFrame, src: Sources) -> DataFrame:
         F.col("scheme_id").alias("default_scheme"), F.col("total_scheme_qty").cast("int").alias("secn_scheme_qty")
     )
     rates = src.rates.drop("rord_grp", "cap", "goal_grp", "secn", "active").withColumnRenamed("rpt_it", "rate_key")
-    joined = counted.withColumn("po_number", F.left("notes1", F.lit(6)))
+    joined = counted.withColumn("po_number", rule.in_notes(F.col("notes1")))
     joined = joined.join(orders, ["item_code", "po_number"], "left")
     for side in (new_items, old_items, master):
         joined = joined.join(side, "item_code", "left")
@@ -397,10 +412,11 @@ def inbound_by_section(enriched: DataFrame, section_map: DataFrame) -> DataFrame
     return placed.groupBy("cap", "secn").agg(*[total(F.col(name)).alias(name) for name in measures])
 
 
-def inbound(src: Sources, as_of: date, set_id: int | None = None, oos_set_id: int = 36) -> tuple[DataFrame, DataFrame]:
+def inbound(src: Sources, as_of: date, set_id: int | None = None, oos_set_id: int = 36,
+            rule: OrderNumbers = SIX_CHARACTERS) -> tuple[DataFrame, DataFrame]:
     """Detail lines and the overview by section."""
     regular = latest_set(src.suggested_orders) if set_id is None else set_id
-    enriched = staged(enrich_lines(stage_lines(src, as_of), src), "inbound-lines")
+    enriched = staged(enrich_lines(stage_lines(src, as_of, rule=rule), src, rule), "inbound-lines")
     detail = inbound_detail(enriched, suggested_orders(src.suggested_orders, regular, oos_set_id))
     return detail, inbound_by_section(enriched, src.section_map)
 

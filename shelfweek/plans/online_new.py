@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfweek.operators.windows import first_row
 from shelfweek.functions.dates import week_bounds, with_year_week
 from shelfweek.functions.measures import money, total, total_if
 from shelfweek.functions.text import varchar
@@ -27,11 +28,8 @@ def vendor_with_suffix(vendor: Column, product_type: Column) -> Column:
 
 
 def sections_of(section_map: DataFrame) -> DataFrame:
-    """Section rows of the map, one per section, so that a lookup never multiplies rows."""
-    rows = section_map.where(F.col("section").isNotNull())
-    return rows.groupBy("section").agg(
-        *[F.min(name).alias(name) for name in ("cap", "goal_grp", "secn", "ttb_vendor", "default_scheme")]
-    )
+    """One row of the map per section, taken as a whole, so that a lookup never multiplies rows nor mixes two of them."""
+    return first_row(section_map.where(F.col("section").isNotNull()), "section", "cap", "goal_grp", "secn", "ttb_vendor", "default_scheme")
 
 
 def online_cells(events: DataFrame) -> DataFrame:

@@ -254,15 +254,17 @@ def open_receipts(src: Sources) -> DataFrame:
     )
 
 
-def channel_series(src: Sources, facts: Sources, as_of: date, wholesale_from: date = date(2017, 12, 31)) -> DataFrame:
+def channel_series(src: Sources, facts: Sources, as_of: date, wholesale_from: date | None = None) -> DataFrame:
+    """All channels per section and week; wholesale counts from the first week of the report unless a date is given."""
     weeks = report_weeks(src.section_map.sparkSession, as_of)
+    wholesale_from = wholesale_from or weeks.agg(F.min("min_dt")).first()[0]
     return combine_channels(
         section_weeks(src.section_map, weeks), store_channel(facts.new_goods), online_channel(facts.online),
         wholesale_channel(src.wh_shipment_tiers, wholesale_from),
     )
 
 
-def section_rates(src: Sources, facts: Sources, as_of: date, wholesale_from: date = date(2017, 12, 31)) -> dict[str, DataFrame]:
+def section_rates(src: Sources, facts: Sources, as_of: date, wholesale_from: date | None = None) -> dict[str, DataFrame]:
     """The four outputs: channel rates, title counts, program rates and open receipts."""
     spark = src.section_map.sparkSession
     last_week = last_sunday(as_of) - timedelta(weeks=1)
