@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-REMEMBERED = 1_000_000  # pieces, and token pairs, that a worker remembers before it starts afresh
+REMEMBERED = 400_000  # pieces, and token pairs, that a worker remembers before it starts afresh
 LONG_PIECE = 40
 NO_LIMIT = 1 << 31
 

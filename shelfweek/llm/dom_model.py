@@ -39,6 +39,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 ENDS = {"li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"},
         "option": {"option"}, "body": {"head"}}
 CONTENT = frozenset(("article", "main"))
+# Elements that divide a page; the others hold text and rarely differ from what they stand in, so they have potentials of their own.
+CONTAINERS = frozenset("html body head div section article main nav header footer aside form menu center details dialog".split())
 BOILERPLATE = frozenset(("nav", "header", "footer", "aside", "form", "head", "menu", "button", "select"))
 
 
@@ -137,27 +139,28 @@ def labels(page: Page) -> list[int]:
 
 @dataclass(frozen=True)
 class Model:
-    """Log potentials: of a feature in favour of content, of the root, and of (parent, child) labels."""
+    """Log potentials: of a feature in favour of content, of the root, and of (parent, child) labels for text elements and containers."""
 
     features: dict[str, float]
     root: float
-    pairs: tuple[tuple[float, float], tuple[float, float]]
+    pairs: tuple[tuple[tuple[float, float], tuple[float, float]], ...]
 
     def marginals(self, page: Page) -> list[float]:
         """Probability of content for every element, by one upward and one downward pass."""
-        n, parents, pairs = len(page.tags), page.parents, self.pairs
+        n, parents = len(page.tags), page.parents
+        between = [self.pairs[tag in CONTAINERS] for tag in page.tags]
         local = [[0.0, sum(self.features.get(f, 0.0) for f in fs)] for fs in features(page)]
         local[0][1] += self.root
         up: list[tuple[float, float]] = [(0.0, 0.0)] * n  # the message of an element to its parent
         for k in range(n - 1, 0, -1):
-            a, b = local[k]
+            (a, b), pairs = local[k], between[k]
             message = _log_sum(pairs[0][0] + a, pairs[0][1] + b), _log_sum(pairs[1][0] + a, pairs[1][1] + b)
             up[k] = message
             local[parents[k]][0] += message[0]
             local[parents[k]][1] += message[1]
         belief = local  # of the root now; below, the parent's message is added
         for k in range(1, n):
-            a, b = belief[parents[k]][0] - up[k][0], belief[parents[k]][1] - up[k][1]
+            a, b, pairs = belief[parents[k]][0] - up[k][0], belief[parents[k]][1] - up[k][1], between[k]
             belief[k][0] += _log_sum(a + pairs[0][0], b + pairs[1][0])
             belief[k][1] += _log_sum(a + pairs[0][1], b + pairs[1][1])
         return [1 / (1 + math.exp(min(700.0, a - b))) for a, b in belief]
@@ -216,7 +219,7 @@ def _counted(pages: DataFrame) -> DataFrame:
                 label = labels(page)
                 for k, names in enumerate(features(page)):
                     out += [("feature", name, label[k]) for name in names]
-                    out.append(("pair", str(label[page.parents[k]]), label[k]) if k else ("root", "", label[k]))
+                    out.append((f"pair {page.tags[k] in CONTAINERS:d}", str(label[page.parents[k]]), label[k]) if k else ("root", "", label[k]))
             columns = list(zip(*out)) if out else [[], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int32())], names=["kind", "name", "label"])
 
@@ -237,8 +240,8 @@ def trained(pages: DataFrame, html_column: str = "html", id_column: str = "page_
     total = [sum(v[y] for (kind, _), v in counts.items() if kind == "feature") for y in (0, 1)]
     weights = {name: math.log((v[1] + SMOOTHING) / (total[1] + SMOOTHING)) - math.log((v[0] + SMOOTHING) / (total[0] + SMOOTHING))
                for (kind, name), v in counts.items() if kind == "feature"}
-    pair = [counts.get(("pair", str(y)), [0.0, 0.0]) for y in (0, 1)]
-    pairs = tuple(tuple(math.log((p[y] + SMOOTHING) / (sum(p) + 2 * SMOOTHING)) for y in (0, 1)) for p in pair)
+    seen = [[counts.get((f"pair {kind}", str(y)), [0.0, 0.0]) for y in (0, 1)] for kind in (0, 1)]
+    pairs = tuple(tuple(tuple(math.log((p[y] + SMOOTHING) / (sum(p) + 2 * SMOOTHING)) for y in (0, 1)) for p in kind) for kind in seen)
     root = counts.get(("root", ""), [1.0, 0.0])
     return Model(weights, math.log((root[1] + SMOOTHING) / (root[0] + SMOOTHING)), pairs)
 
