@@ -114,12 +114,15 @@ def expected_sales_yoy(s):
     return sr.expected_sales(sr.rate_momentum(sr.rates(series(s)), 2000), LAST)
 
 
-@query(
+RATE_REPORT = (
     "yr:i wk:i min_dt:s cap:s secn:s " + doubles("ly_sros", "sros", "ly_oros", "oros", "ly_wros", "wros", "s_next_3mo", "o_next_3mo",
                                                 "w_next_3mo"),
     "SELECT *, " + ", ".join(f"CAST(CAST(exp_{m}1mo + exp_{m}2mo + exp_{m}3mo AS DOUBLE) / 12.0 AS {R}) AS {m}_next_3mo" for m in "sow")
-    + " FROM expected", **SERIES,
+    + " FROM expected",
 )
+
+
+@query(*RATE_REPORT, **SERIES)
 def section_rate_output(s):
     """The rate report of the last week."""
     return sr.rates_output(sr.expected_sales(sr.rate_momentum(sr.rates(staged(series(s), "channel-series")), 2000), LAST))
@@ -150,12 +153,15 @@ def ships_by_program(s):
     return sr.ships_by_program(s.wh_shipment_tiers, s.section_map, AS_OF, s.part.sparkSession)
 
 
-@query(
+TITLE_REPORT = (
     "yr:i min_dt:s secn:s " + doubles(*[f"{n}_{m}" for m in ("its", "qty") for n in FRAMES]),
     "SELECT * FROM (SELECT *, " + ", ".join(
         f"{frame('ship_' + m, f'{a} PRECEDING', f'{b} PRECEDING' if b else 'CURRENT ROW', n)} AS {name}_{m}"
-        for m in ("its", "qty") for name, (a, b, n) in FRAMES.items()) + " FROM t_dense) WHERE weeks_off = -1", **SHIPS,
+        for m in ("its", "qty") for name, (a, b, n) in FRAMES.items()) + " FROM t_dense) WHERE weeks_off = -1",
 )
+
+
+@query(*TITLE_REPORT, **SHIPS)
 def before_after_frames(s):
     return sr.before_after(sr.ships_by_program(s.wh_shipment_tiers, s.section_map, AS_OF, s.part.sparkSession))
 
@@ -287,18 +293,20 @@ RATE_PARTS = {
 }
 
 
-@query(
+PROGRAM_REPORT = (
     "rord_grp:s cap:s goal_grp:s secn:s default_scheme:s scheme_qty:i " + " ".join(f"{n}:i" for n in PARTS) + " " + doubles(*RATE_PARTS),
     "SELECT g.*, section AS default_scheme, scheme_qty FROM (SELECT rord_grp, cap, goal_grp, secn, "
     + ", ".join(f"{sql} AS {name}" for name, sql in {**PARTS, **RATE_PARTS}.items())
     + " FROM merged_items WHERE rord_grp = 'TRO' GROUP BY ALL) g JOIN (SELECT section FROM sections) ON section = secn LEFT JOIN schemes ON scheme_id = section",
-    **ITEMS,
 )
+
+
+@query(*PROGRAM_REPORT, **ITEMS)
 def program_section_rates(s):
     return sr.program_section_rates(mr.merged_rates(s, AS_OF, MONTHS, YEARS), s.section_map, s.scheme_header)
 
 
-@query(
+RECEIPT_REPORT = (
     "company:s secn:s rord_grp:s receipt_id:s receipt_dt:s vendor:s item:s title:s cost:d price:d qty:i",
     """SELECT company, secn, rord_grp, receipt_id, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS receipt_dt, o_orderpriority AS vendor, item, p_name AS title,
         cost, price, sum(q) AS qty FROM (SELECT *, lpad(item, 20, '0') AS item_code FROM receipt_lines WHERE close_date IS NULL AND l_linestatus = 'O'
@@ -306,10 +314,39 @@ def program_section_rates(s):
         JOIN (SELECT item_code, rord_grp FROM item_master WHERE rord_grp IN ('CDC', 'TRO')) USING (item_code)
         JOIN (SELECT item_code, cost, price FROM products) USING (item_code) GROUP BY ALL""",
 )
+
+
+@query(*RECEIPT_REPORT)
 def open_receipts(s):
     return sr.open_receipts(s)
 
 
+# --- the section report as one job ----------------------------------------------------------------
+
+def section_report(s, part: str):
+    return sr.section_rates(s, facts(s), AS_OF)[part]
+
+
+@query(*RATE_REPORT, **SERIES)
+def section_report_rates(s):
+    return section_report(s, "rates")
+
+
+@query(TITLE_REPORT[0], TITLE_REPORT[1] + " AND secn <> '0'", **SHIPS)
+def section_report_titles(s):
+    return section_report(s, "title_counts")
+
+
+@query(*PROGRAM_REPORT, **ITEMS)
+def section_report_programs(s):
+    return section_report(s, "program_rates")
+
+
+@query(*RECEIPT_REPORT)
+def section_report_receipts(s):
+    return section_report(s, "open_receipts")
+
+
 @query(
     "end_dt:s last_dt:s last_yr:i last_wk:i base_dt:s base_wk:i target_yr:i target_wk:i weeks:i lines:i",
     f"""SELECT DATE '{AS_OF}' AS end_dt, min_dt AS last_dt, {yr('min_dt')} AS last_yr, {wk('min_dt')} AS last_wk, base_dt, {wk('base_dt')} AS base_wk,

@@ -124,18 +124,19 @@ def full_outer_reconcile(s):
 
 @query(
     "o_orderkey:i hours_apart:i l_partkey:i l_suppkey:i shipped:s",
-    """SELECT o_orderkey, hours AS hours_apart, l_partkey, l_suppkey, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS shipped FROM (
-        SELECT o_orderkey, l_partkey, l_suppkey, l_shipdate, abs(date_diff('hour', o_orderdate, l_shipdate)) AS hours,
-            row_number() OVER (PARTITION BY o_orderkey ORDER BY abs(date_diff('hour', o_orderdate, l_shipdate)) NULLS LAST,
-                               l_partkey, l_suppkey, l_shipdate) AS n
-        FROM order_store o LEFT JOIN (SELECT store, l_partkey, l_suppkey, l_shipdate FROM line_store
-            WHERE l_tax = 0.08 AND l_returnflag = 'A') USING (store)) WHERE n = 1""",
+    """SELECT o_orderkey, hours AS hours_apart, pick.part AS l_partkey, pick.supp AS l_suppkey, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS shipped FROM (
+        SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY hours NULLS LAST, pick.part, pick.supp, l_shipdate) AS n FROM (
+            SELECT *, abs(date_diff('hour', o_orderdate, l_shipdate)) AS hours FROM (FROM lines_before UNION ALL FROM lines_after))) WHERE n = 1""",
+    day_lines="SELECT store, l_shipdate, min({'part': l_partkey, 'supp': l_suppkey}) AS pick FROM line_store GROUP BY ALL",
+    lines_before="""SELECT o_orderkey, o_orderdate, l_shipdate, pick FROM order_store o ASOF LEFT JOIN day_lines d
+        ON o.store = d.store AND o.o_orderdate >= d.l_shipdate""",
+    lines_after="""SELECT o_orderkey, o_orderdate, l_shipdate, pick FROM order_store o ASOF LEFT JOIN day_lines d
+        ON o.store = d.store AND o.o_orderdate <= d.l_shipdate""",
 )
 def nearest_in_time(s):
     """For each order the line shipped from the same store nearest to the order date."""
-    lines = s.line_store.where((F.col("l_tax") == 0.08) & (F.col("l_returnflag") == "A"))
     found = joins.nearest_in_time(
-        s.order_store.select("o_orderkey", "store", "o_orderdate"), lines, "store", "o_orderdate", "l_shipdate",
+        s.order_store.select("o_orderkey", "store", "o_orderdate"), s.line_store, "store", "o_orderdate", "l_shipdate",
         ["l_partkey", "l_suppkey", "l_shipdate"], ["l_partkey", "l_suppkey"])
     return found.withColumn("shipped", F.col("l_shipdate").cast("date").cast("string"))
 

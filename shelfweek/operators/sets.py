@@ -32,15 +32,6 @@ def missing_dates(df: DataFrame, week: str = "min_dt") -> DataFrame:
     return df.where(F.col(week).isNull())
 
 
-def row_count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count("*").alias("rows"))
-
-
-def weekly_quantity(df: DataFrame, by: list[str], quantity: str) -> DataFrame:
-    """Quantity per group, for comparing totals before and after a load."""
-    return df.groupBy(*by).agg(F.sum(quantity).alias(quantity))
-
-
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys stored more than once; none are expected."""
     return df.groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1")

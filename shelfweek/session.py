@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Runtime re-planning does the partition sizing, so the shuffle width below is only the starting
-# point: adaptive execution merges small shuffle partitions and splits skewed ones.
+# Adaptive execution merges small shuffle partitions and splits skewed ones, but never makes an aggregation wider than
+# ``spark.sql.shuffle.partitions``. The width belongs to the cluster and the data: pass it as a keyword, a few times the
+# number of cores or the shuffled bytes over 128 MB, whichever is larger.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from contextlib import contextmanager
 from contextvars import ContextVar
 from datetime import date
@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfweek.functions.text import clean_keys
 from shelfweek.operators.joins import absent, present
 
 
@@ -26,9 +27,14 @@ class Sources(dict):
             raise AttributeError(f"source table {name!r} was not given") from missing
 
 
-def load(spark: SparkSession, root: str, names: Iterable[str]) -> Sources:
-    """Scan one parquet folder per table name; nothing is read until a job needs it."""
-    return Sources({name: spark.read.parquet(f"{root}/{name}") for name in names})
+def load(spark: SparkSession, root: str, names: Iterable[str], keys: Mapping[str, Iterable[str]] | None = None) -> Sources:
+    """Scan one parquet folder per table name; nothing is read until a job needs it.
+
+    ``keys`` names the text keys of tables whose codes are stored with trailing blanks; they are trimmed here once.
+    Filters on a trimmed column do not reach the scan, so only such tables should be listed.
+    """
+    keys = keys or {}
+    return Sources({name: clean_keys(spark.read.parquet(f"{root}/{name}"), *keys.get(name, ())) for name in names})
 
 
 def union_tiers(*tiers: DataFrame) -> DataFrame:
@@ -123,7 +129,11 @@ def read_or_empty(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
 
 
 def atomic_write(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> None:
-    """Replace a table as a whole: write beside it, then swap by rename, so readers never see half of it."""
+    """Replace a table as a whole: write beside it, then swap by rename, so readers never see half of it.
+
+    Between the two renames there is no table at the path for a moment, and on an object store a rename is a copy: a
+    reader that starts then fails and has to start again. A write that fails leaves the old table.
+    """
     spark = df.sparkSession
     mark = uuid.uuid4().hex
     fresh, previous = f"{path}.new-{mark}", f"{path}.old-{mark}"
@@ -157,7 +167,8 @@ def append_new(df: DataFrame, path: str, keys: list[str], window: tuple[date, da
 
     The table is partitioned by week. With the window of the new rows only their weeks of the stored table are
     read. The rebalance hint gives each week few files and still splits a large week over tasks. One job
-    writes the new rows, which the file committer publishes as a whole.
+    writes the new rows. If its commit fails part way, some rows may be stored: run the load again, it adds the
+    rest. Two loads of one table must not run at the same time.
     """
     spark = df.sparkSession
     stored = read_or_empty(spark, path, df)

@@ -10,7 +10,7 @@ from registry.check import compare, connect
 
 DATA = Path("/root/testdata/sf0.001")
 SAMPLE = ["weekly_sales", "location_detail", "item_detail_sparse", "online_rollup_used", "chain_by_section", "title_running_totals",
-          "nearest_in_time", "expected_sales_yoy", "merged_item_rates", "inbound_detail_lines", "serial_facts", "item_master_refresh"]
+          "nearest_in_time", "expected_sales_yoy", "section_report_titles", "merged_item_rates", "inbound_detail_lines", "serial_facts", "item_master_refresh"]
 
 
 def test_every_statement_belongs_to_a_query():

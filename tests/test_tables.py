@@ -70,3 +70,17 @@ def test_csv_export_is_sorted(spark, tmp_path):
     path = str(tmp_path / "report")
     tables.export_csv(facts(spark, (WEEK, "b", 1), (WEEK, "a", 2)), path, ["secn"])
     assert [r.secn for r in spark.read.csv(path, header=True).collect()] == ["a", "b"]
+
+
+def test_load_trims_the_named_keys(spark, tmp_path):
+    spark.createDataFrame([("A1  ", "x "), (None, "y")], "code string, note string").write.parquet(str(tmp_path / "items"))
+    src = tables.load(spark, str(tmp_path), ["items"], {"items": ["code"]})
+    assert {tuple(r) for r in src["items"].collect()} == {("A1", "x "), (None, "y")}
+
+
+def test_report_tables_are_rebuilt_and_reloaded(spark, rows, tmp_path):
+    path = str(tmp_path / "report")
+    tables.rebuild(facts(spark, (WEEK, "a", 1)), path)
+    tables.reload(facts(spark, (WEEK, "b", 2)), path, ["secn", "qty"])
+    stored = spark.read.parquet(path)
+    assert stored.columns == ["secn", "qty"] and rows(stored) == [("b", 2)]
