@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from registry.base import query
-from registry.oracle_tables import M, code, sunday, wk, yr
+from registry.oracle_tables import M, code, compose, sunday, wk, yr
 from registry.standins import AS_OF, ONLINE_AS_OF, ONLINE_WEEKS, WEEKS, Retail
 from shelfweek.functions.dates import week_bounds
 from shelfweek.functions.measures import MONEY
@@ -335,9 +335,8 @@ ONLINE_COLUMNS = ("used_new:s src:s yr:i wk:i min_dt:s loc_no:s rord_grp:s vendo
                   "sold_cost:d sold_val:d sold_list:d sold_fee:d rfnd_ords:i rfnd_its:i rfnd_amt:d")
 
 
-@query(
-    ONLINE_COLUMNS,
-    f"""SELECT 'New' AS used_new, {yr('min_dt')} AS yr, {wk('min_dt')} AS wk, * FROM (
+ONLINE_NEW = {
+    "online_new_rows": f"""SELECT 'New' AS used_new, {yr('min_dt')} AS yr, {wk('min_dt')} AS wk, * FROM (
         SELECT CASE WHEN rord_grp = 'BS' THEN 'BS' ELSE 'DIPS' END AS src, min_dt, loc_no, rord_grp,
         left(CASE WHEN vendor = 'CDC' THEN 'CDC' || CASE WHEN right(product_type, 1) = 'F' THEN '-f' ELSE '-n' END ELSE vendor END, 12) AS vendor,
         cap, secn, site, sum(CASE WHEN dir = 's' THEN orders ELSE 0 END) AS sold_ords, count(DISTINCT CASE WHEN dir = 's' THEN item_code END) AS sold_its,
@@ -345,19 +344,21 @@ ONLINE_COLUMNS = ("used_new:s src:s yr:i wk:i min_dt:s loc_no:s rord_grp:s vendo
         sum(CASE WHEN dir = 's' THEN lines * price ELSE 0 END) AS sold_list, sum(fee) AS sold_fee,
         sum(CASE WHEN dir = 'r' THEN orders ELSE 0 END) AS rfnd_ords, count(DISTINCT CASE WHEN dir = 'r' THEN item_code END) AS rfnd_its,
         sum(refund) AS rfnd_amt FROM new_cells JOIN stores_150 USING (loc_no) GROUP BY ALL)""",
-    new_cells="""SELECT min_dt, loc_no, site, dir, item_code, vendor, rord_grp, product_type, cap, secn, cost, price, count(DISTINCT order_no) AS orders,
+    "new_cells": """SELECT min_dt, loc_no, site, dir, item_code, vendor, rord_grp, product_type, cap, secn, cost, price, count(DISTINCT order_no) AS orders,
         count(*) AS lines, sum(qty) AS qty, sum(amount) AS amount, sum(fee) AS fee, sum(refund) AS refund
         FROM online_rows JOIN (SELECT * EXCLUDE (vendor_id) FROM products) ON p_partkey = CAST(k AS BIGINT) JOIN item_master USING (item_code)
         LEFT JOIN sections ON section = section_code WHERE is_new GROUP BY ALL""",
-    stores_150="SELECT loc_no FROM stores",
-)
+    "stores_150": "SELECT loc_no FROM stores",
+}
+
+
+@query(ONLINE_COLUMNS, "SELECT * FROM online_new_rows", **ONLINE_NEW)
 def online_rollup_new(s):
     return online_new.weekly_online_new(s, ONLINE_AS_OF, ONLINE_WEEKS)
 
 
-@query(
-    ONLINE_COLUMNS,
-    f"""SELECT 'Used' AS used_new, left(vendor, 4) AS src, 'USED' AS rord_grp, {yr('min_dt')} AS yr, {wk('min_dt')} AS wk, * FROM (
+ONLINE_USED = {
+    "online_used_rows": f"""SELECT 'Used' AS used_new, left(vendor, 4) AS src, 'USED' AS rord_grp, {yr('min_dt')} AS yr, {wk('min_dt')} AS wk, * FROM (
         SELECT min_dt, loc_no, vendor, cap, secn, site, sum(CASE WHEN dir = 's' THEN orders ELSE 0 END) AS sold_ords,
         sum(CASE WHEN dir = 's' THEN items ELSE 0 END) AS sold_its, sum(qty) AS sold_qty,
         sum(coalesce(CAST(qty * a.cost AS {M}), CAST(amount * length(c.product_type) * 10 * 0.01 AS {M}))) AS sold_cost,
@@ -368,56 +369,82 @@ def online_rollup_new(s):
         LEFT JOIN (SELECT home AS loc_no, product_type, CAST(date_trunc('month', CAST(ts AS DATE) + 20) AS DATE) AS month,
                 CAST(max(p_size) AS {M}) AS cost FROM event_rows JOIN serials ON serial = CAST(k AS INTEGER) GROUP BY ALL) a USING (loc_no, product_type, month)
         LEFT JOIN sections ON section = subj GROUP BY ALL)""",
-    used_groups=f"""SELECT min_dt, o.loc_no, 'SIPS' AS vendor, product_type, subj, dir, site, count(DISTINCT order_no) AS orders, count(DISTINCT k) AS items,
+    "used_groups": f"""SELECT min_dt, o.loc_no, 'SIPS' AS vendor, product_type, subj, dir, site, count(DISTINCT order_no) AS orders, count(DISTINCT k) AS items,
             sum(qty) AS qty, coalesce(sum(used_amount), 0) AS amount, sum(qty * list_price) AS listed, sum(fee) AS fee, sum(refund) AS refund
             FROM online_rows o JOIN priced p ON CAST(k AS INTEGER) = serial WHERE NOT is_new GROUP BY ALL
         UNION ALL SELECT {sunday('ts')}, home, 'BI', NULL, NULL, 's', 'i', count(DISTINCT order_no), count(DISTINCT k), sum(qty), sum(amount),
             sum(amount), sum(fee), 0 FROM used_market GROUP BY ALL
         UNION ALL SELECT {sunday('ts + INTERVAL 5 DAY')}, home, 'BI', NULL, NULL, 'r', 'i', count(DISTINCT order_no), count(DISTINCT k), 0, 0, 0, 0,
             sum(refund) FROM used_market WHERE refund > 0 GROUP BY ALL""",
-    used_market="SELECT * FROM event_rows WHERE event_type = 'view' AND value >= 5 AND left(k, 1) IN ('4', '5')",
-)
+    "used_market": "SELECT * FROM event_rows WHERE event_type = 'view' AND value >= 5 AND left(k, 1) IN ('4', '5')",
+}
+
+
+@query(ONLINE_COLUMNS, "SELECT * FROM online_used_rows", **ONLINE_USED)
 def online_rollup_used(s):
     return online_used.weekly_online_used(s, ONLINE_AS_OF, ONLINE_WEEKS)
 
 
-@query(
-    "item_code:s item:s vendor:s rord_grp:s",
-    """SELECT item_code, coalesce(m.item, u.item) AS item, coalesce(u.vendor, m.vendor) AS vendor,
+MASTER = {
+    "refreshed_master": """SELECT item_code, coalesce(m.item, u.item) AS item, coalesce(u.vendor, m.vendor) AS vendor,
         CASE WHEN u.vendor IS NULL OR u.vendor = m.vendor THEN coalesce(m.rord_grp, u.rord_grp) ELSE u.rord_grp END AS rord_grp
         FROM (SELECT * FROM stored_master) m FULL JOIN (SELECT item_code, item, vendor, CASE WHEN vendor = 'TEXASBKMNB' THEN 'TRO' WHEN vendor LIKE 'BS%' THEN 'BS'
             WHEN vendor = 'CDC' THEN 'CDC' WHEN vendor IN ('Inac', 'IDAURORA', 'IDTOYSMITH') THEN 'HRO' END AS rord_grp FROM classified) u USING (item_code)
         WHERE item_code NOT IN (SELECT item_code FROM products_skip WHERE skipped)""",
-    products_skip="""SELECT *, ((in_base OR product_type = 'PRMO' OR bought_from = 'WHPBSUPPLY' OR (product_type = 'CALF' AND vendor_id = 'IDCDCSPECU'))
+    "products_skip": """SELECT *, ((in_base OR product_type = 'PRMO' OR bought_from = 'WHPBSUPPLY' OR (product_type = 'CALF' AND vendor_id = 'IDCDCSPECU'))
                    AND vendor_id <> 'IDTXBKSTAP' AND bought_from <> 'IDTXBKSTAP') AS skipped, coalesce(nullif(report_item_code, ''), item_code) AS target
         FROM products""",
-    classified="""SELECT a.item_code, b.target AS item,
+    "classified": """SELECT a.item_code, b.target AS item,
         CASE WHEN p.mark = 'TTB' THEN CASE WHEN p.bought_from = 'TEXASBKMNB' THEN 'TEXASBKMNB' ELSE coalesce(ttb_vendor, 'TEXASBKMNA') END
              WHEN p.bought_from IN ('IDAURORA', 'IDTOYSMITH') THEN p.bought_from
              WHEN p.product_type IN ('HBF', 'TRF') THEN CASE WHEN p.vendor_id IN ('IDB&TDISTR', 'IDINGRAMDI') THEN 'BS-r' ELSE 'BS-i' END
              WHEN p.reorder_mark AND p.bought_from <> 'IDCDCSPECU' THEN 'Inac' ELSE 'CDC' END AS vendor
         FROM products_skip a JOIN products_skip b ON a.target = b.item_code JOIN products p ON p.item_code = b.target
         LEFT JOIN sections ON section = p.section_code WHERE NOT a.skipped AND NOT b.skipped""",
-)
+}
+
+
+@query("item_code:s item:s vendor:s rord_grp:s", "SELECT * FROM refreshed_master", **MASTER)
 def item_master_refresh(s):
     """The stored master after insert, update and delete."""
     s["item_master"] = s.stored_master
     return item_master.refresh_item_master(s)
 
 
-@query("step:s status:s rows:i keys_repeated:i")
+def stored(step: str, rows: str, tables: dict[str, str]) -> str:
+    """The line of one step; the statements of different steps use the same names, so each count has its own."""
+    return f"SELECT '{step}' AS step, 'done' AS status, ({compose('n:i', rows, tables)}) AS rows, 0 AS keys_repeated"
+
+
+ONLINE_LOADED = {**ONLINE_NEW, **ONLINE_USED, **MASTER, "item_master": "SELECT * FROM refreshed_master"}
+REFRESHED = {
+    "item_master": ("SELECT count(*) AS n FROM refreshed_master", MASTER),
+    "new_goods": ("SELECT count(*) AS n FROM open_weeks JOIN live_sections ON true", {**NEW_FOLDS, **CULL}),
+    "base_inventory": ("SELECT count(*) AS n FROM b_weeks JOIN base_items ON true WHERE loc_no NOT IN ('00020', '00106')", BASE),
+    "serial_items": ("SELECT count(*) AS n FROM s_weeks JOIN (SELECT DISTINCT p_brand FROM part) ON true", SERIAL),
+    # Two sources and two programs stand at every section.
+    "frontline": ("SELECT 4 * count(*) AS n FROM open_weeks JOIN live_sections ON true", {**FRONT_FOLDS, **CULL}),
+    "frontline_items": ("SELECT count(*) AS n FROM i_live", ITEM_FOLDS),
+    # Both online steps load one table.
+    **{step: ("SELECT (SELECT count(*) FROM online_new_rows) + (SELECT count(*) FROM online_used_rows) AS n", ONLINE_LOADED)
+       for step in ("online_new", "online_used")},
+}
+
+
+@query("step:s status:s rows:i keys_repeated:i", " UNION ALL ".join(stored(step, *of) for step, of in REFRESHED.items()))
 def weekly_refresh(s):
     """All load steps into an empty folder, with the rows and repeated keys each left in its table."""
-    s = serial_sources(s)
+    plain = s.sales_line
+    s["sales_line"] = plain.unionByName(s.serial_sales_line.select(*plain.columns))  # one table of lines for all steps
     spark = s.part.sparkSession
     target = f"{shared_folder(spark)}/shelfweek-refresh/{uuid.uuid4().hex}"
     src = Sources({name: s[name] for name in REFRESH_TABLES})
     src["item_master"] = s.stored_master
     status = refresh.weekly_refresh(spark, src, target, ONLINE_AS_OF, 1525)
     rows = None
-    for step, table, _, keys in refresh.FACTS:
-        stored = spark.read.parquet(f"{target}/{table}")
-        counted = stored.groupBy(*keys).agg(F.count("*").alias("n")).agg(
+    for step, table, keys in (("item_master", "item_master", ["item_code"]), *((step, table, keys) for step, table, _, keys in refresh.FACTS)):
+        loaded = spark.read.parquet(f"{target}/{table}")
+        counted = loaded.groupBy(*keys).agg(F.count("*").alias("n")).agg(
             F.sum("n").alias("rows"), F.count_if(F.col("n") > 1).alias("keys_repeated"))
         line = counted.select(F.lit(step).alias("step"), F.lit(status[step]).alias("status"), "rows", "keys_repeated")
         rows = line if rows is None else rows.unionByName(line)
