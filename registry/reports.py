@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from registry.base import query
 from registry.oracle_tables import M, sunday, wk, yr
 from registry.standins import facts
 from shelfweek.functions.measures import MONEY
-from shelfweek.plans import chain_report, program_rollup, title_report
+from shelfweek.plans import chain_report, program_rollup, report_files, title_report
+from shelfweek.sources import tables
 
 SINCE = 1996
 REPORT = chain_report.MEASURES
@@ -191,6 +193,57 @@ def store_weeks_vs_ly(s):
     return title_report.store_weeks_vs_ly(s.fact_items, date(1997, 6, 1))
 
 
+# --- report files and tables ----------------------------------------------------------------------
+
+def report_path(spark) -> str:
+    return f"{tables.shared_folder(spark)}/shelfweek-reports/{uuid.uuid4().hex}"
+
+
+def placed(report: str) -> str:
+    """The place of a row in the order of a report; both engines put nulls first in ascending and last in descending order."""
+    order = ", ".join(f"{n[1:]} DESC NULLS LAST" if n.startswith("-") else f"{n} NULLS FIRST" for n in report_files.ORDERS[report])
+    return f"row_number() OVER (ORDER BY {order}) AS line_no"
+
+
+def written(df, report: str):
+    path = report_path(df.sparkSession)
+    report_files.write_report(df, path, report)
+    return report_files.read_report(df.sparkSession, path, df.schema)
+
+
+@query(
+    "line_no:i " + NAMED + "program:s sold_qty:i sold_val:d",
+    f"SELECT *, {placed('chain_by_source')} FROM (SELECT used_new, src, yr, wk, min_dt, fy, fw, fw_wk, program, sum(sold_qty) AS sold_qty, "
+    "sum(sold_val) AS sold_val FROM merged GROUP BY ALL)", **CHAIN,
+)
+def chain_report_file(s):
+    """The report by source as a file, read back line by line."""
+    return written(chain_report.chain_report(facts(s), SINCE)[0], "chain_by_source")
+
+
+@query(
+    "line_no:i loc_no:s min_dt:s cur_sold_qty:i title:s",
+    f"""SELECT *, {placed('titles')} FROM weeks WHERE min_dt >= DATE '1998-05-03' AND cur_sold_qty + cur_rtn_qty > 0""", **TITLES,
+)
+def title_report_file(s):
+    """The title report as a file; the columns shown are those of its order, so titles that tie look alike."""
+    return written(title_report.title_running_totals(s.fact_items, s.products, date(1998, 5, 3)), "titles")
+
+
+@query(
+    NAMED + "cap:s secn:s sold_qty:i sold_val:d cur_4_wks:i",
+    "SELECT used_new, src, yr, wk, min_dt, fy, fw, fw_wk, cap, secn, sold_qty, sold_val, cur_4_wks FROM indexed", **CHAIN,
+)
+def section_report_table(s):
+    """The report by section as a table: rebuilt, then refilled with the columns its readers name."""
+    rows = chain_report.chain_report(facts(s), SINCE)[1]
+    spark = rows.sparkSession
+    path = report_path(spark)
+    tables.rebuild(rows, path)
+    tables.reload(spark.read.parquet(path), path, [*chain_report.TIME, "used_new", "src", "fy", "fw", "fw_wk", "cap", "secn", "sold_qty", "sold_val", "cur_4_wks"])
+    return spark.read.parquet(path)
+
+
 # --- work programs --------------------------------------------------------------------------------
 
 PROGRAMS = {

@@ -84,3 +84,24 @@ def test_report_tables_are_rebuilt_and_reloaded(spark, rows, tmp_path):
     tables.reload(facts(spark, (WEEK, "b", 2)), path, ["secn", "qty"])
     stored = spark.read.parquet(path)
     assert stored.columns == ["secn", "qty"] and rows(stored) == [("b", 2)]
+
+
+def test_report_files_keep_their_order_over_many_files(spark, tmp_path):
+    from shelfweek.plans import report_files
+
+    rows = [(f"{i % 7:05d}", WEEK, i % 5, None if i % 11 == 0 else f"t{i % 13:02d}") for i in range(200)]
+    df = spark.createDataFrame(rows, "loc_no string, min_dt date, cur_sold_qty int, title string").repartition(5)
+    path = str(tmp_path / "titles")
+    report_files.write_report(df, path, "titles")
+    read = report_files.read_report(spark, path, df.schema).collect()
+    assert sorted(r.line_no for r in read) == list(range(1, 201))
+    wanted = sorted(rows, key=lambda r: (r[0], r[1], -r[2], r[3] or ""))
+    assert [tuple(r)[:4] for r in sorted(read, key=lambda r: r.line_no)] == wanted
+
+
+def test_an_empty_report_has_no_lines(spark, tmp_path):
+    from shelfweek.plans import report_files
+
+    df = spark.createDataFrame([], "cap string, secn string, qty int")
+    report_files.write_report(df, str(tmp_path / "empty"), "inbound_overview")
+    assert report_files.read_report(spark, str(tmp_path / "empty"), df.schema).count() == 0
