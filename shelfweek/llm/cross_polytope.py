@@ -132,7 +132,7 @@ def _block_counts(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
     small_a, small_b = np.where(small, keys, -1), np.where(small, keys, -2)
     large_a, large_b = np.where(small, -1, keys), np.where(small, -2, keys)
     left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
-    gained, label = np.zeros(len(block), np.int64), node.copy()
+    gained, root = np.zeros(len(block), np.int64), np.arange(len(block))
     none = np.iinfo(np.int64).max
     for start in range(0, len(left), 64):
         rows = left[start:start + 64]
@@ -146,14 +146,13 @@ def _block_counts(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
         x, y = x[alone], y[alone]
         np.add.at(gained, x, copies[y])
         np.add.at(gained, y, copies[x])
-        while len(x):  # hand the least label along the links of these rows
-            low = np.minimum(label[x], label[y])
-            before = label.copy()
-            np.minimum.at(label, x, low)
-            np.minimum.at(label, y, low)
-            if (before == label).all():
-                break
-    return pd.DataFrame({"node": node, "links": gained, "label": label})
+        while (apart := root[x] != root[y]).any():  # join the components of both ends, those of earlier rows as a whole
+            x, y = x[apart], y[apart]
+            low, high = np.minimum(root[x], root[y]), np.maximum(root[x], root[y])
+            np.minimum.at(root, high, low)
+            while (root != root[root]).any():
+                root = root[root]
+    return pd.DataFrame({"node": node, "links": gained, "label": node[root]})
 
 
 def linked_vectors(vectors: DataFrame, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:

@@ -204,6 +204,32 @@ def test_vector_links_equal_brute_force(spark, monkeypatch, small):
     assert cross_polytope.linked_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [512, 200])
+def test_sparse_chains_of_a_large_bucket_stay_whole(spark, monkeypatch, block):
+    """All vectors share their keys; each is linked to the next of its chain only, so links meet in different batches."""
+    monkeypatch.setattr(cross_polytope, "BLOCK", block)
+    monkeypatch.setattr(cross_polytope, "keys_of", lambda v: np.tile(np.arange(48, dtype=np.int64).reshape(12, 4), (len(v), 1, 1)))
+    rng = np.random.default_rng(12)
+    vectors = []
+    for _ in range(3):
+        at = rng.normal(size=64)
+        for _ in range(150):
+            at /= np.linalg.norm(at)
+            vectors.append(at)
+            side = rng.normal(size=64)
+            side -= (side @ at) * at
+            at = 0.96 * at + 0.28 * side / np.linalg.norm(side)
+    vectors = [vectors[i] for i in rng.permutation(len(vectors))]
+    good = dict(enumerate(vectors))
+    want = components_of(good, lambda a, b: a @ b >= 0.95)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in good.items()], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r for r in cross_polytope.linked_vectors(df).collect()}
+    assert len(set(want.values())) == 3
+    assert {i: r["component_id"] for i, r in got.items()} == want
+    assert all(r["kept"] == (want[i] == i) for i, r in got.items())
+    assert {i: r["n_links"] for i, r in got.items()} == {i: sum(1 for j in good if j != i and good[i] @ good[j] >= 0.95) for i in good}
+
+
 # --- quality ----------------------------------------------------------------------------------------
 
 def test_frequent_lines_go_and_copies_do_not_count(spark):
