@@ -9,6 +9,7 @@ from shelfweek.llm import byte_tokens, curriculum, line_frequency, secret_scan,
 from shelfweek.llm.common import staged, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+SHINGLE = 5
 
 
 def quality_rules(spark, docs, sf_dir):
@@ -17,8 +18,8 @@ def quality_rules(spark, docs, sf_dir):
 
 
 def near_dedup(spark, docs, sf_dir):
-    """One document of each group of near duplicates."""
-    return setsketch.one_of_each(docs)
+    """One document of each group of near duplicates, by shingles of five words."""
+    return setsketch.one_of_each(docs, width=SHINGLE)
 
 
 def secret_scans(spark, docs, sf_dir):

@@ -20,7 +20,7 @@ def op2_source_mix(spark, root):
 
 
 def op3_setsketch_dedup(spark, root):
-    return setsketch.near_duplicates(table(spark, root, "documents"))
+    return setsketch.near_duplicates(table(spark, root, "documents"), width=2)
 
 
 def op4_quote_linking(spark, root):

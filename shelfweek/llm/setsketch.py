@@ -114,7 +114,7 @@ def document_key(id_column: str, text: str) -> Column:
     return F.concat(F.coalesce(F.col(id_column).cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(F.col(text), F.lit(""))))
 
 
-def sketched(docs: DataFrame, id_column: str, text: str, keep_sets: bool = False) -> DataFrame:
+def sketched(docs: DataFrame, id_column: str, text: str, width: int, keep_sets: bool = False) -> DataFrame:
     """(id, key, n, node, registers) of each document, or (node, set) where the sets themselves are wanted."""
     rows = docs.select(F.col(id_column).cast("long").alias("id"), document_key(id_column, text).alias("key"), F.col(text).alias("body"))
 
@@ -123,7 +123,7 @@ def sketched(docs: DataFrame, id_column: str, text: str, keep_sets: bool = False
 
     def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t) for t in batch.column("body").to_pylist()]
+            sets = [shingles(t, width) for t in batch.column("body").to_pylist()]
             yield pa.RecordBatch.from_arrays([
                 batch.column("id"), batch.column("key"), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([node(s) if len(s) else None for s in sets], pa.int64()),
@@ -132,7 +132,7 @@ def sketched(docs: DataFrame, id_column: str, text: str, keep_sets: bool = False
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t) for t in batch.column("body").to_pylist()]
+            sets = [shingles(t, width) for t in batch.column("body").to_pylist()]
             yield pa.RecordBatch.from_arrays([
                 pa.array([node(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
             ], names=["node", "set"])
@@ -270,7 +270,7 @@ def _open_members(large: DataFrame, parts: DataFrame) -> DataFrame:
     return dealt.select("key", "node", "component", "home", F.explode(blocks).alias("b")).select("key", "node", "component", "home", "b.i", "b.j")
 
 
-def node_components(rows: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataFrame:
+def node_components(rows: DataFrame, docs: DataFrame, id_column: str, text: str, width: int) -> DataFrame:
     """(node, component) of the distinct sets that are linked."""
     nodes = staged(rows.where("node is not null").groupBy("node").agg(
         F.min("id").alias("root"), F.any_value("n").alias("n"), F.any_value("registers").alias("registers")), "nodes")
@@ -282,7 +282,7 @@ def node_components(rows: DataFrame, docs: DataFrame, id_column: str, text: str)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(large.select("node")).distinct()
     roots = nodes.join(wanted, "node", "left_semi").select(F.coalesce(F.col("root").cast("string"), F.lit("")).alias("root"))
     holders = docs.join(roots.distinct(), F.coalesce(F.col(id_column).cast("string"), F.lit("")) == F.col("root"), "left_semi")
-    sets = sketched(holders, id_column, text, keep_sets=True).join(wanted, "node", "left_semi")
+    sets = sketched(holders, id_column, text, width, keep_sets=True).join(wanted, "node", "left_semi")
     sets = staged(sets.groupBy("node").agg(F.any_value("set").alias("set")), "sets")
     links = staged(_confirmed(pairs, sets), "confirmed")
     parts = staged(components(links), "parts")
@@ -293,26 +293,26 @@ def node_components(rows: DataFrame, docs: DataFrame, id_column: str, text: str)
     return staged(components(links.unionByName(more)), "parts")
 
 
-def _assigned(docs: DataFrame, id_column: str, text: str) -> DataFrame:
+def _assigned(docs: DataFrame, id_column: str, text: str, width: int) -> DataFrame:
     """(id, key, n, part) of each document; documents of one part belong together, and those without words have none."""
     docs = docs.select(id_column, text)
-    rows = staged(sketched(docs, id_column, text), "sketches")
-    parts = node_components(rows, docs, id_column, text)
+    rows = staged(sketched(docs, id_column, text, width), "sketches")
+    parts = node_components(rows, docs, id_column, text, width)
     joined = rows.drop("registers").join(parts, "node", "left")
     return joined.select("id", "key", "n", F.coalesce("component", "node").alias("part"))
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = SHINGLE) -> DataFrame:
     """For every document the size of its set, the least id it is linked to by any path, and whether that is its own."""
-    rows = staged(_assigned(docs, id_column, text), "assigned")
+    rows = staged(_assigned(docs, id_column, text, width), "assigned")
     least = rows.where("part is not null").groupBy("part").agg(F.min("id").alias("least"))
     out = rows.join(least, "part", "left").withColumn("component_id", F.when(F.col("part").isNull(), F.col("id")).otherwise(F.col("least")))
     return out.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = SHINGLE) -> DataFrame:
     """The documents with one of each group of near duplicates: the one of the least id; documents without words all stay."""
-    rows = staged(_assigned(docs, id_column, text), "assigned")
+    rows = staged(_assigned(docs, id_column, text, width), "assigned")
     best = rows.where("part is not null").groupBy("part").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("best"))
     stay = best.select(F.col("best.key").alias("key"), F.lit(True).alias("single"))
     stay = stay.unionByName(rows.where("part is null").select("key", F.lit(False).alias("single")).distinct())

@@ -177,6 +177,34 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, small):
     assert kept == sorted(i for i in want if want[i] == i)
 
 
+def test_near_dedup_stage_equals_brute_force_of_five_words(spark):
+    """Edits at scattered places leave texts similar in pairs of words and not in runs of five; such texts stay."""
+    rng = random.Random(13)
+    texts = []
+    for _ in range(3):
+        base = prose(rng, 100).split()
+        texts.append(" ".join(base))
+        for _ in range(10):
+            copy = list(base)
+            for at in range(rng.randrange(20), 100, 20):
+                copy[at] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(copy))
+    texts += near_group(rng, 30, 100, 5) + ["four words are here", "Four words are here", "solo", ""]
+    rng.shuffle(texts)
+
+    def shingles(text, width):
+        w = text.lower().split()
+        return frozenset(tuple(w[i:i + width]) for i in range(max(1, len(w) - width + 1))) if w else frozenset()
+
+    def kept(width):
+        sets = {i: shingles(t, width) for i, t in enumerate(texts)}
+        part = components_of(sets, lambda a, b: bool(a) and bool(b) and 100 * len(a & b) >= 80 * len(a | b))
+        return sorted(i for i in part if part[i] == i)
+
+    got = sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, documents(spark, list(enumerate(texts))), "").collect())
+    assert got == kept(5) and len(kept(2)) < len(kept(5)) < len(texts)
+
+
 def test_sketches_merge_and_estimate():
     rng = np.random.default_rng(5)
     a, b = rng.integers(0, 2**63, 3000, dtype=np.uint64), rng.integers(0, 2**63, 1000, dtype=np.uint64)
