@@ -88,7 +88,8 @@ def frequent_lines(texts: DataFrame, limit_percent: int = LIMIT_PERCENT, limit_t
     """(host, line) in more texts of the host than its limit; ``texts`` has one row per host and key.
 
     A host's limit is a share of its texts, so it has at most ``100 / limit_percent`` times its mean number of lines
-    per text above the limit, however many texts it has.
+    per text above the limit, however many texts it has. The count needed grows with the host, so a line that many texts
+    of a large host share can stay.
     """
     held = texts.select("host", F.explode(F.array_distinct(F.col("lines.line"))).alias("line"))
     counts = held.groupBy("host", "line").count().where(F.col("count") > limit_texts)
