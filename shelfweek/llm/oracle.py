@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from shelfweek.llm import curriculum as mix
+from shelfweek.llm import lexical
 from shelfweek.llm import line_frequency as lines
+from shelfweek.llm import merkle
 from shelfweek.llm import secret_scan as scan
 from shelfweek.llm import url_rules as urls
 
@@ -115,3 +117,64 @@ hits as (select r, rh || rp as rule, v from named, rules where (host = rh or suf
 best as (select r, arg_max(rule, len(rule)) as rule, arg_max(v, len(rule)) as v from hits group by r)
 select page_id, host, path, rule, coalesce(v, '{urls.DEFAULT}') as verdict from named left join best using (r)
 """
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SEARCH = rf"""
+with docs as (select doc_id, row_number() over () as r, regexp_extract_all({_FOLD}, '{_TERM}') as t from documents),
+held as (select r, any_value(doc_id) as doc_id, any_value(len(t))::bigint as n from docs where len(t) > 0 group by r),
+total as (select count(*)::bigint as docs, sum(n)::bigint as terms from held),
+counted as (select r, t, count(*)::bigint as tf from (select r, unnest(t) as t from docs) group by r, t),
+weights as (select t, floor(1000 * ln((2 * any_value(docs) + 2)::double / (2 * count(*) + 1)))::bigint as w from counted, total group by t),
+asked as (select i, t, count(*)::bigint as c from (
+  select i, unnest(regexp_extract_all({_FOLD}, '{_TERM}')) as t from (select text, row_number() over () as i from benchmark)) group by i, t),
+items as (select item_id, row_number() over () as i from benchmark),
+scored as (select i, r, sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // terms))))::bigint as score
+  from asked join counted using (t) join weights using (t) join held using (r), total group by i, r),
+placed as (select *, row_number() over (partition by i order by score desc, doc_id) as rank from scored join held using (r) where score > 0)
+select item_id, rank::int as rank, doc_id, score from placed join items using (i) where rank <= {lexical.TOP}
+"""
+
+
+def _part(column: str) -> str:
+    return f"coalesce(octet_length(encode({column}::varchar))::varchar || ':' || {column}::varchar, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_part(c if c != "text" else text) for c in merkle.FIELDS) + ")"
+
+
+# The checksum is spelled out bit by bit, with the reversed polynomial.
+_CRC = """(select xor(list_reduce([4294967295::bigint] || list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint),
+  lambda crc, byte: list_reduce([xor(crc, byte)] || [0::bigint, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295))"""
+
+MANIFEST = f"""
+with recursive docs as (select doc_id, coalesce('=' || source, '') as tree, {_leaf('text')} as leaf,
+  case when {_CRC} % {merkle.TAMPERED_EVERY} = 0 then {_leaf("translate(text, '" + merkle.UPPER + "', '" + merkle.LOWER + "')")} end as tampered from documents),
+leaves as (select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as pos, row_number() over () as r from docs),
+nodes as (select tree, 0 as level, pos, leaf as digest from leaves
+  union all
+  select tree, level + 1, pos // {merkle.ARITY}, sha256(string_agg(digest, '' order by pos))
+  from (select *, count(*) over (partition by tree) as n from nodes) where n > 1 group by tree, level, pos // {merkle.ARITY}),
+heights as (select tree, max(level) as height from nodes group by tree),
+subroots as (select tree, digest as subroot, row_number() over (order by tree) - 1 as pos from nodes join heights using (tree) where level = height),
+tops as (select 0 as level, pos, subroot as digest from subroots
+  union all
+  select level + 1, pos // {merkle.ARITY}, sha256(string_agg(digest, '' order by pos)) from (select *, count(*) over () as n from tops) where n > 1 group by level, pos // {merkle.ARITY}),
+top as (select max(level) as height, arg_max(digest, level) as root from tops),
+every as (select tree, level, pos, digest from nodes union all select null, level, pos, digest from tops),
+folds as (select r, tree, pos, 0 as level, 0 as step, coalesce(tampered, leaf) as digest, '' as proof, leaf, false as above from leaves
+  union all
+  select r, tree, pos, level, step, digest, proof, leaf, above from (
+    select f.r, f.tree, case when climb then s.pos else f.pos // {merkle.ARITY} end as pos, case when climb then 0 else f.level + 1 end as level, f.step + 1 as step, f.leaf,
+      f.above or climb as above,
+      case when climb then f.digest else sha256((select string_agg(case when e.pos = f.pos then f.digest else e.digest end, '' order by e.pos) from every e
+        where e.tree is not distinct from (case when f.above then null else f.tree end) and e.level = f.level and e.pos // {merkle.ARITY} = f.pos // {merkle.ARITY})) end as digest,
+      case when climb then f.proof else f.proof || (select coalesce(string_agg(e.digest, '' order by e.pos) filter (e.pos <> f.pos), '') from every e
+        where e.tree is not distinct from (case when f.above then null else f.tree end) and e.level = f.level and e.pos // {merkle.ARITY} = f.pos // {merkle.ARITY}) end as proof
+    from (select folds.*, not above and level = height as climb from folds join heights using (tree) where not (above and level = (select height from top))) f join subroots s using (tree))),
+done as (select r, arg_max(digest, step) as folded_root, arg_max(proof, step) as proof from folds where above and level = (select height from top) group by r)
+select doc_id, leaf, subroot, root, sha256(proof) as proof_sha256, folded_root, folded_root = root as verified
+from leaves join done using (r) join subroots using (tree), top
+"""

@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 
 import corpus_pipeline
-from shelfweek.llm import byte_tokens, cross_polytope, curriculum, dom_model, hilbert, line_frequency, oracle, quotes, secret_scan, setsketch, url_rules
+from shelfweek.llm import byte_tokens, cross_polytope, curriculum, dom_model, hilbert, lexical, line_frequency, merkle, oracle, packing, quotes, secret_scan, setsketch, url_rules
 from shelfweek.llm.common import table
 
 TOKENS = "byte_bpe_multi_50k.tiktoken"
+WORD_TOKENS = "word_bpe_49k.json"
 
 
 def op1_secret_scan(spark, root):
@@ -51,13 +52,26 @@ def op10_byte_tokens(spark, root):
     return byte_tokens.token_report(table(spark, root, "documents"), public_tokenizers.path(TOKENS), public_tokenizers.PATTERN)
 
 
+def op11_lexical_search(spark, root):
+    return lexical.top_documents(table(spark, root, "documents"), table(spark, root, "benchmark"))
+
+
+def op12_merkle_manifest(spark, root):
+    return merkle.verified(table(spark, root, "documents"))
+
+
+def op13_best_fit_packing(spark, root):
+    return packing.packed_pieces(table(spark, root, "documents"), public_tokenizers.path(WORD_TOKENS))
+
+
 def pipeline(spark, root):
     return corpus_pipeline.run(spark, root)
 
 
 QUERIES = {run.__name__: run for run in (
     op1_secret_scan, op2_source_mix, op3_setsketch_dedup, op4_quote_linking, op5_hilbert_shards, op6_line_frequency, op7_cross_polytope,
-    op8_dom_text, op9_url_rules, op10_byte_tokens, pipeline)}
-ORACLE = {"op1_secret_scan": oracle.SECRETS, "op2_source_mix": oracle.MIX, "op6_line_frequency": oracle.LINES, "op9_url_rules": oracle.URLS}
+    op8_dom_text, op9_url_rules, op10_byte_tokens, op11_lexical_search, op12_merkle_manifest, op13_best_fit_packing, pipeline)}
+ORACLE = {"op1_secret_scan": oracle.SECRETS, "op2_source_mix": oracle.MIX, "op6_line_frequency": oracle.LINES, "op9_url_rules": oracle.URLS,
+          "op11_lexical_search": oracle.SEARCH, "op12_merkle_manifest": oracle.MANIFEST}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
