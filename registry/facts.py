@@ -411,42 +411,52 @@ def item_master_refresh(s):
     return item_master.refresh_item_master(s)
 
 
-def stored(step: str, rows: str, tables: dict[str, str]) -> str:
-    """The line of one step; the statements of different steps use the same names, so each count has its own."""
-    return f"SELECT '{step}' AS step, 'done' AS status, ({compose('n:i', rows, tables)}) AS rows, 0 AS keys_repeated"
+def loaded(step: str, source: str, tables: dict[str, str], times: int = 1, beside: str | None = None) -> str:
+    """The line of one step: rows left in its table, rows it wrote and those of them without a week, in a first run and again.
 
-
-ONLINE_LOADED = {**ONLINE_NEW, **ONLINE_USED, **MASTER, "item_master": "SELECT * FROM refreshed_master"}
-REFRESHED = {
-    "item_master": ("SELECT count(*) AS n FROM refreshed_master", MASTER),
-    "new_goods": ("SELECT count(*) AS n FROM open_weeks JOIN live_sections ON true", {**NEW_FOLDS, **CULL}),
-    "base_inventory": ("SELECT count(*) AS n FROM b_weeks JOIN base_items ON true WHERE loc_no NOT IN ('00020', '00106')", BASE),
-    "serial_items": ("SELECT count(*) AS n FROM s_weeks JOIN (SELECT DISTINCT p_brand FROM part) ON true", SERIAL),
-    # Two sources and two programs stand at every section.
-    "frontline": ("SELECT 4 * count(*) AS n FROM open_weeks JOIN live_sections ON true", {**FRONT_FOLDS, **CULL}),
-    "frontline_items": ("SELECT count(*) AS n FROM i_live", ITEM_FOLDS),
-    # Both online steps load one table.
-    **{step: ("SELECT (SELECT count(*) FROM online_new_rows) + (SELECT count(*) FROM online_used_rows) AS n", ONLINE_LOADED)
-       for step in ("online_new", "online_used")},
-}
+    The statements of different steps use the same names, so each count has its own. ``beside`` is what the other step of
+    the same table loads.
+    """
+    both = f"(SELECT count(*) FROM {beside})" if beside else "0"
+    undated = "0" if step == "item_master" else "count(*) FILTER (WHERE min_dt IS NULL)"
+    counts = f"SELECT {times} * count(*) + {both} AS n, {times} * count(*) AS l, {times} * {undated} AS u FROM {source}"
+    return (f"SELECT '{step}' AS step, 'done' AS status, n AS rows, 0 AS keys_repeated, l AS loaded, u AS undated, 'done' AS status_again, 0 AS loaded_again "
+            f"FROM ({compose('n:i l:i u:i', counts, tables)})")
 
 
-@query("step:s status:s rows:i keys_repeated:i", " UNION ALL ".join(stored(step, *of) for step, of in REFRESHED.items()))
+ONLINE_LOADED = {**ONLINE_NEW, **ONLINE_USED, **MASTER, "item_master": "SELECT * FROM refreshed_master"}
+REFRESHED = [
+    loaded("item_master", "refreshed_master", MASTER),
+    loaded("new_goods", "open_weeks JOIN live_sections ON true", {**NEW_FOLDS, **CULL}),
+    loaded("base_inventory", "b_weeks JOIN base_items ON true WHERE loc_no NOT IN ('00020', '00106')", BASE),
+    loaded("serial_items", "s_weeks JOIN (SELECT DISTINCT p_brand FROM part) ON true", SERIAL),
+    loaded("frontline", "open_weeks JOIN live_sections ON true", {**FRONT_FOLDS, **CULL}, 4),  # two sources and two programs a section
+    loaded("frontline_items", "i_live", ITEM_FOLDS),
+    loaded("online_new", "online_new_rows", ONLINE_LOADED, beside="online_used_rows"),
+    loaded("online_used", "online_used_rows", ONLINE_LOADED, beside="online_new_rows"),
+]
+
+
+@query("step:s status:s rows:i keys_repeated:i loaded:i undated:i status_again:s loaded_again:i", " UNION ALL ".join(REFRESHED))
 def weekly_refresh(s):
-    """All load steps into an empty folder, with the rows and repeated keys each left in its table."""
+    """All load steps into an empty folder, and all of them again, with the rows and repeated keys each left in its table.
+
+    The rows that a step wrote, and those of them without a week, were counted while it wrote them.
+    """
     plain = s.sales_line
     s["sales_line"] = plain.unionByName(s.serial_sales_line.select(*plain.columns))  # one table of lines for all steps
     spark = s.part.sparkSession
     target = f"{shared_folder(spark)}/shelfweek-refresh/{uuid.uuid4().hex}"
     src = Sources({name: s[name] for name in REFRESH_TABLES})
     src["item_master"] = s.stored_master
-    status = refresh.weekly_refresh(spark, src, target, ONLINE_AS_OF, 1525)
+    first, again = (refresh.weekly_refresh(spark, src, target, ONLINE_AS_OF, 1525, at_once=3) for _ in range(2))
     rows = None
     for step, table, keys in (("item_master", "item_master", ["item_code"]), *((step, table, keys) for step, table, _, keys in refresh.FACTS)):
-        loaded = spark.read.parquet(f"{target}/{table}")
-        counted = loaded.groupBy(*keys).agg(F.count("*").alias("n")).agg(
+        counted = spark.read.parquet(f"{target}/{table}").groupBy(*keys).agg(F.count("*").alias("n")).agg(
             F.sum("n").alias("rows"), F.count_if(F.col("n") > 1).alias("keys_repeated"))
-        line = counted.select(F.lit(step).alias("step"), F.lit(status[step]).alias("status"), "rows", "keys_repeated")
+        line = counted.select(
+            F.lit(step).alias("step"), F.lit(first[step]).alias("status"), "rows", "keys_repeated", F.lit(first.counts[step].rows).alias("loaded"),
+            F.lit(first.counts[step].undated).alias("undated"), F.lit(again[step]).alias("status_again"), F.lit(again.counts[step].rows).alias("loaded_again"))
         rows = line if rows is None else rows.unionByName(line)
     return rows
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from registry.base import query
 from registry.oracle_tables import po
 from registry.rates import ITEMS, R
-from shelfweek.plans import inbound
+from registry.reports import placed, read_back, report_path
+from shelfweek.plans import inbound, report_jobs
 from shelfweek.plans.merged_rates import available_stock
 
 AS_OF = date(2001, 8, 2)
@@ -209,3 +210,25 @@ for step, test in STEPS.items():
 def inbound_section_overview(s):
     _, by_section = inbound.inbound(s, AS_OF, rule=WHOLE_NUMBERS)
     return by_section
+
+
+@query(
+    "line_no:i rord_grp:s title_code:s status:s item_code:s",
+    f"SELECT *, {placed('inbound_detail')} FROM enriched WHERE dup_line = 'ok'", **ENRICHED,
+)
+def inbound_detail_file(s):
+    """The detail as a file; the columns shown are those of its order, so lines that tie look alike."""
+    path = report_path(s.part.sparkSession)
+    return read_back(s, path, report_jobs.write_inbound_reports(s, path, AS_OF, rule=WHOLE_NUMBERS), "inbound_detail")
+
+
+@query(
+    "line_no:i cap:s secn:s " + " ".join(f"{n}:i" for n in CELLS),
+    f"SELECT *, {placed('inbound_overview')} FROM (SELECT g.cap, g.secn, " + ", ".join(f"{sql} AS {n}" for n, sql in CELLS.items())
+    + """ FROM (SELECT cap, secn, section FROM sections UNION ALL SELECT 'zzz', '--SectionMissing--', NULL) g
+        LEFT JOIN (SELECT * EXCLUDE (cap) FROM enriched WHERE dup_line = 'ok') e ON g.section IS NOT DISTINCT FROM e.secn GROUP BY 1, 2)""", **ENRICHED,
+)
+def inbound_overview_file(s):
+    """The overview by section as a file, read back line by line."""
+    path = report_path(s.part.sparkSession)
+    return read_back(s, path, report_jobs.write_inbound_reports(s, path, AS_OF, rule=WHOLE_NUMBERS), "inbound_overview")

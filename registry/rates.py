@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from registry.base import query
 from registry.oracle_tables import code, sunday, wk, yr
-from registry.standins import facts
+from registry.reports import placed, read_back, report_path
+from registry.standins import SUBJECT_LABEL, facts
 from shelfweek.operators.joins import reconcile
 from shelfweek.plans import merged_rates as mr
+from shelfweek.plans import report_jobs
 from shelfweek.plans import section_rates as sr
 from shelfweek.sources.tables import staged
 
@@ -25,6 +27,8 @@ WEEKS_OF_REPORT = f"""SELECT min_dt, {yr('min_dt')} AS yr, {wk('min_dt')} AS wk
 
 SERIES = {
     "r_weeks": WEEKS_OF_REPORT,
+    # One label stands at a subject only.
+    "labels": f"SELECT section, cap, secn FROM sections UNION ALL SELECT NULL, '{SUBJECT_LABEL[0]}', '{SUBJECT_LABEL[1]}'",
     "c_store": "SELECT section, min_dt, sum(ship_qty) AS ship_qty, sum(sold_qty) AS st_sold_qty FROM fact_new_goods GROUP BY ALL",
     "c_online": "SELECT secn AS section, min_dt, sum(sold_qty) AS onl_sold_qty FROM fact_online WHERE used_new = 'New' GROUP BY ALL",
     "c_wholesale": """SELECT section, min_dt, count(DISTINCT item) AS wh_sold_its, sum(q) AS wh_sold_qty FROM wh_lines
@@ -33,7 +37,7 @@ SERIES = {
         SELECT yr, wk, min_dt, cap, secn, sum(coalesce(ship_qty, 0)) AS ship_qty, sum(coalesce(st_sold_qty, 0)) AS st_sold_qty,
             sum(coalesce(onl_sold_qty, 0)) AS onl_sold_qty, count(onl_sold_qty) AS onl_rows, sum(coalesce(wh_sold_qty, 0)) AS wh_sold_qty,
             count(wh_sold_qty) AS wh_rows
-        FROM r_weeks JOIN sections ON true LEFT JOIN c_store USING (section, min_dt) LEFT JOIN c_online USING (section, min_dt)
+        FROM r_weeks JOIN labels ON true LEFT JOIN c_store USING (section, min_dt) LEFT JOIN c_online USING (section, min_dt)
         LEFT JOIN c_wholesale USING (section, min_dt) GROUP BY yr, wk, min_dt, cap, secn)""",
 }
 MARKS = {"": "sold_qty", "s": "st_sold_qty", "o": "onl_sold_qty", "w": "wh_sold_qty"}
@@ -128,6 +132,14 @@ def section_rate_output(s):
     return sr.rates_output(sr.expected_sales(sr.rate_momentum(sr.rates(staged(series(s), "channel-series")), 2000), LAST))
 
 
+@query("line_no:i " + RATE_REPORT[0], f"SELECT *, {placed('section_rates')} FROM ({RATE_REPORT[1]})", **SERIES)
+def section_rate_file(s):
+    """The rate report of the last week as a file, read back line by line."""
+    path = report_path(s.part.sparkSession)
+    expected = sr.expected_sales(sr.rate_momentum(sr.rates(staged(series(s), "channel-series")), 2000), LAST)
+    return read_back(s, path, report_jobs.write_section_rates(expected, path), "section_rates")
+
+
 SHIPS = {
     "t_items": """SELECT secn, min_dt, item, sum(q) AS q, sum(CASE WHEN order_type IN ('TTB Reorders', 'TTB Initial') THEN q ELSE 0 END) AS tro,
         max(order_type IN ('TTB Reorders', 'TTB Initial')) AS is_tro, max(order_type NOT IN ('TTB Reorders', 'TTB Initial')) AS is_wh

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from registry.base import query
 from registry.oracle_tables import code, wk, yr
-from registry.standins import sales_by_year
+from registry.standins import padded, sales_by_year
 from shelfweek.functions.dates import with_year_week
 from shelfweek.operators import joins, sets, windows
 from shelfweek.plans import weekly
@@ -43,22 +43,26 @@ def semi_members(s):
 
 
 @query(
-    "test:s loc_no:s orders:i",
-    """SELECT 'plain' AS test, store AS loc_no, count(*) AS orders FROM order_store
-        WHERE (CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END) NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 7) GROUP BY ALL
-       UNION ALL SELECT 'null listed', store, count(*) FROM order_store
-        WHERE o_orderkey NOT IN (SELECT CASE WHEN l_tax > 0.01 THEN l_orderkey END FROM lineitem WHERE l_linenumber = 7) GROUP BY ALL""",
+    "test:s nation:i customers:i",
+    """SELECT 'plain' AS test, c_nationkey AS nation, count(*) AS customers FROM customer
+        WHERE (CASE WHEN c_acctbal >= 0 THEN c_custkey END) NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P') GROUP BY ALL
+       UNION ALL SELECT 'null listed', c_nationkey, count(*) FROM customer
+        WHERE c_custkey NOT IN (SELECT CASE WHEN o_orderstatus <> 'P' THEN o_custkey END FROM orders) GROUP BY ALL
+       UNION ALL SELECT 'empty list', c_nationkey, count(*) FROM customer
+        WHERE (CASE WHEN c_acctbal >= 0 THEN c_custkey END) NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey IS NULL) GROUP BY ALL""",
 )
 def not_in_null_aware(s):
-    """Orders outside a list, once with null values asked for and once with nulls in the list."""
-    orders = s.order_store.withColumn("asked", F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")))
-    lines = s.lineitem.where("l_linenumber = 7")
-    plain = joins.not_in(orders, "asked", lines.select("l_orderkey"))
-    nulls = joins.not_in(s.order_store, "o_orderkey", lines.select(F.when(F.col("l_tax") > 0.01, F.col("l_orderkey"))))
-    count = F.count("*").alias("orders")
-    shown = [df.groupBy(F.lit(name).alias("test"), F.col("store").alias("loc_no")).agg(count)
-             for name, df in (("plain", plain), ("null listed", nulls))]
-    return shown[0].unionByName(shown[1])
+    """Customers without a partly shipped order; null values asked for, nulls in the list, and an empty list, which admits all."""
+    customers = s.customer.withColumn("asked", F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")))
+    lists = {
+        "plain": ("asked", s.orders.where("o_orderstatus = 'P'").select("o_custkey")),
+        "null listed": ("c_custkey", s.orders.select(F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")))),
+        "empty list": ("asked", s.orders.where("o_orderkey is null").select("o_custkey")),
+    }
+    count = F.count("*").alias("customers")
+    shown = [joins.not_in(customers, column, values).groupBy(F.lit(name).alias("test"), F.col("c_nationkey").alias("nation")).agg(count)
+             for name, (column, values) in lists.items()]
+    return shown[0].unionByName(shown[1]).unionByName(shown[2])
 
 
 @query(
@@ -84,7 +88,7 @@ def eq_null_safe_join(s):
     """SELECT min_dt, section, loc_no, coalesce(qty, 0) AS qty FROM
         (SELECT DISTINCT min_dt FROM fact_lines) JOIN (SELECT DISTINCT section FROM fact_lines) ON true
         JOIN (SELECT DISTINCT loc_no FROM fact_lines) ON true
-        LEFT JOIN (SELECT min_dt, section, loc_no, sum(q) AS qty FROM fact_lines WHERE o AND n AND m GROUP BY ALL)
+        LEFT JOIN (SELECT min_dt, section, loc_no, sum(q) AS qty FROM fact_lines GROUP BY ALL)
         USING (min_dt, section, loc_no)""",
 )
 def dense_spine(s):
@@ -92,33 +96,32 @@ def dense_spine(s):
     lines = s.fact_lines
     spine = joins.dense_spine(*[lines.select(name).distinct() for name in ("min_dt", "section", "loc_no")])
     keys = ["min_dt", "section", "loc_no"]
-    facts = lines.where("o and n and m").groupBy(*keys).agg(F.sum("q").alias("qty"))
+    facts = lines.groupBy(*keys).agg(F.sum("q").alias("qty"))
     return joins.attach(spine, facts, keys, ["qty"])
 
 
 @query(
     "min_dt:s loc_no:s items:i",
-    """SELECT min_dt, loc_no, count(*) AS items FROM (SELECT DISTINCT min_dt, loc_no, item_code FROM fact_lines
-        WHERE (a AND m) OR (r AND o) OR ln = 7) GROUP BY ALL""",
+    """SELECT min_dt, loc_no, count(*) AS items FROM (SELECT DISTINCT min_dt, loc_no, item_code FROM fact_lines) GROUP BY ALL""",
 )
 def key_union(s):
-    """Keys that occur in any of three folds, without a dense grid."""
+    """Keys that occur in any of three folds, which together hold all lines, without a dense grid."""
     lines = s.fact_lines
-    keys = joins.key_union(weekly.CELL, lines.where("a and m"), lines.where("r and o"), lines.where("ln = 7"))
+    keys = joins.key_union(weekly.CELL, lines.where("a"), lines.where("r"), lines.where("n"))
     return keys.groupBy("min_dt", "loc_no").agg(F.count("*").alias("items"))
 
 
 @query(
     "min_dt:s section:s loc_no:s sent:i received:i",
     """SELECT min_dt, section, loc_no, sent, received FROM
-        (SELECT min_dt, section, loc_no, sum(q) AS sent FROM fact_lines WHERE ln = 3 AND o GROUP BY ALL) FULL JOIN
-        (SELECT min_dt, section, loc_no, sum(q) AS received FROM fact_lines WHERE ln = 4 AND o GROUP BY ALL)
+        (SELECT min_dt, section, loc_no, sum(q) AS sent FROM fact_lines WHERE o GROUP BY ALL) FULL JOIN
+        (SELECT min_dt, section, loc_no, sum(q) AS received FROM fact_lines WHERE NOT o GROUP BY ALL)
         USING (min_dt, section, loc_no)""",
 )
 def full_outer_reconcile(s):
+    """Open lines as one side and closed lines as the other, side by side."""
     keys = ["min_dt", "section", "loc_no"]
-    sides = [s.fact_lines.where(f"ln = {ln} and o").groupBy(*keys).agg(F.sum("q").alias(name))
-             for ln, name in ((3, "sent"), (4, "received"))]
+    sides = [s.fact_lines.where(test).groupBy(*keys).agg(F.sum("q").alias(name)) for test, name in (("o", "sent"), ("not o", "received"))]
     return joins.reconcile(*sides, keys)
 
 
@@ -201,13 +204,14 @@ def union_archive_tiers(s):
 
 @query(
     "item_code:s",
-    f"""SELECT {code('l_partkey')} AS item_code FROM lineitem WHERE l_discount = 0 UNION
-        SELECT {code('l_partkey')} FROM lineitem WHERE l_tax = 0 UNION SELECT {code('p_partkey')} FROM part WHERE p_size = 50""",
+    f"""SELECT {code('l_partkey')} AS item_code FROM lineitem WHERE l_returnflag = 'R' UNION
+        SELECT {code('l_partkey')} FROM lineitem WHERE l_returnflag <> 'R' UNION SELECT {code('p_partkey')} FROM part""",
 )
 def union_distinct_keys(s):
-    keyed = s.lineitem.withColumn("item_code", F.lpad(F.col("l_partkey").cast("string"), 20, "0"))
-    return sets.union_distinct(keyed.where("l_discount = 0").select("item_code"),
-                               keyed.where("l_tax = 0").select("item_code"), s.base_inventory)
+    """Items returned, items sold and items listed, each once."""
+    keyed = s.lineitem.withColumn("item_code", padded("l_partkey", 20))
+    return sets.union_distinct(keyed.where("l_returnflag = 'R'").select("item_code"), keyed.where("l_returnflag <> 'R'").select("item_code"),
+                               s.products.select("item_code"))
 
 
 @query(

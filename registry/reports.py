@@ -9,7 +9,7 @@ from registry.base import query
 from registry.oracle_tables import M, sunday, wk, yr
 from registry.standins import facts
 from shelfweek.functions.measures import MONEY
-from shelfweek.plans import chain_report, program_rollup, report_files, title_report
+from shelfweek.plans import chain_report, program_rollup, report_files, report_jobs, title_report
 from shelfweek.sources import tables
 
 SINCE = 1996
@@ -29,6 +29,16 @@ def fact_part(name: str, source: str, join: str, cap: str, secn: str) -> str:
             f"abs(in_sts_qty) + abs(out_sts_qty) AS moved_qty FROM {source} {join} WHERE yr >= {SINCE}")
 
 
+def homed(online: str, by: str) -> str:
+    """Online rows under the cap of the store rows of their label: their own if it is there, else the first."""
+    if "cap" not in by:
+        return online
+    return f"""SELECT o.* REPLACE (CASE WHEN caps IS NULL OR list_contains(caps, coalesce(o.cap, '~')) THEN o.cap ELSE nullif(list_min(caps), '~') END AS cap)
+        FROM ({online}) o LEFT JOIN (SELECT used_new, src, yr, wk, min_dt, secn, list(coalesce(cap, '~')) AS caps FROM r_store GROUP BY ALL) s
+        ON s.used_new = o.used_new AND s.src = o.src AND s.yr = o.yr AND s.wk = o.wk AND s.min_dt IS NOT DISTINCT FROM o.min_dt
+        AND s.secn IS NOT DISTINCT FROM o.secn"""
+
+
 def report_tables(by: str, stores: str = "") -> dict[str, str]:
     """Stacked store facts, dated online facts and their merge at the grain ``by``."""
     counted = stores and ", count(DISTINCT loc_no) AS stores"
@@ -38,6 +48,7 @@ def report_tables(by: str, stores: str = "") -> dict[str, str]:
                        f"coalesce({m}, 0) + coalesce(onl_{m}, 0) AS {m}" for m in REPORT)
     match = " AND ".join(f"a.{k} IS NOT DISTINCT FROM b.{k}" for k in ("used_new", "src", "yr", "wk", "min_dt", *by.split(", ")))
     keys = ", ".join(f"coalesce(a.{k}, b.{k}) AS {k}" for k in ("used_new", "src", "yr", "wk", "min_dt", *by.split(", ")))
+    onlined = ", ".join(f"sum({m}) AS {m}" for m in ("onl_sold_qty", "onl_sold_cost", "onl_sold_val", "onl_sold_fee", "rfnd_ords", "rfnd_amt", "web_sold_qty", "web_sold_val"))
     return {
         "all_facts": " UNION ALL ".join([
             fact_part("base_inventory", "fact_base_inventory", "", "''", "product_type"),
@@ -52,10 +63,11 @@ def report_tables(by: str, stores: str = "") -> dict[str, str]:
             sum(CASE WHEN site = 'h' THEN sold_qty ELSE 0 END) AS web_sold_qty, sum(CASE WHEN site = 'h' THEN {value} ELSE 0 END) AS web_sold_val
             {counted} FROM (SELECT * EXCLUDE (min_dt) FROM fact_online) o LEFT JOIN r_weeks w ON w.yr = o.yr AND w.wk = o.wk
             GROUP BY used_new, src, o.yr, o.wk, w.min_dt, {by}""",
+        "r_homed": f"SELECT used_new, src, yr, wk, min_dt, {by}, {onlined}{stores and ', max(stores) AS stores'} FROM ({homed('SELECT * FROM r_online', by)}) GROUP BY ALL",
         "merged": f"""SELECT *, CASE WHEN wk > 26 THEN yr ELSE yr - 1 END AS fy, CASE WHEN wk > 26 THEN wk - 26 ELSE wk + 26 END AS fw,
             lpad(CAST(CASE WHEN wk > 26 THEN wk - 26 ELSE wk + 26 END AS VARCHAR), 2, '0') || '-' || lpad(CAST(wk AS VARCHAR), 2, '0') AS fw_wk,
             CASE WHEN used_new = 'Used' THEN 'USED' WHEN src = 'BS' THEN 'BS' ELSE 'CDC' END AS program
-            FROM (SELECT {keys}, {filled}{stores and ', coalesce(a.stores, b.stores) AS stores'} FROM r_store a FULL JOIN r_online b ON {match})
+            FROM (SELECT {keys}, {filled}{stores and ', coalesce(a.stores, b.stores) AS stores'} FROM r_store a FULL JOIN r_homed b ON {match})
             WHERE abs(ship_qty) + abs(rcv_qty) + abs(sold_qty) + abs(rfi_qty) + abs(moved_qty) + abs(rtn_qty) > 0""",
         "latest": "SELECT max(min_dt) AS last_dt FROM merged",
         "indexed": """SELECT m.*, CASE WHEN age < 4 OR age BETWEEN 52 AND 55 THEN 4 - age % 52 ELSE 0 END AS cur_4_wks
@@ -113,11 +125,12 @@ def current_four_weeks(s):
     "loc_no:s district_name:s reopen_wk:i reopen_dt:s",
     """SELECT loc_no, r_name AS district_name, w AS reopen_wk, reopen_dt FROM (SELECT DISTINCT loc_no FROM fact_lines)
         JOIN nation ON lpad(CAST(n_nationkey AS VARCHAR), 5, '0') = loc_no JOIN region ON r_regionkey = n_regionkey
-        JOIN (VALUES ('AMERICA', 19), ('ASIA', 23)) d(name, w) ON name = r_name
+        JOIN (VALUES ('AFRICA', 20), ('AMERICA', 19), ('ASIA', 23), ('EUROPE', 21), ('MIDDLE EAST', 18)) d(name, w) ON name = r_name
         JOIN (SELECT wk, min(min_dt) AS reopen_dt FROM fact_new_goods WHERE yr = 1997 GROUP BY 1) ON wk = w WHERE loc_no NOT IN ('00011', '00020')""",
 )
 def reopen_week_lookup(s):
-    stores = chain_report.reopen_weeks(s.store_dim, s.fact_new_goods, 1997, {"AMERICA": 19, "ASIA": 23})
+    weeks = {"AFRICA": 20, "AMERICA": 19, "ASIA": 23, "EUROPE": 21, "MIDDLE EAST": 18}
+    stores = chain_report.reopen_weeks(s.store_dim, s.fact_new_goods, 1997, weeks)
     return stores.join(s.fact_lines.select("loc_no").distinct(), "loc_no", "left_semi")
 
 
@@ -126,11 +139,11 @@ def reopen_week_lookup(s):
     "md_sold_val:d rfi_cost:d",
     "SELECT secn, yr, wk, min_dt, fy, fw_wk, " + ", ".join(
         f"sum({m}) AS {m}" for m in ("rcv_qty", "sold_qty", "md_sold_qty", "rfi_qty", "rcv_cost", "sold_cost", "sold_val", "md_sold_val",
-                                     "rfi_cost")) + " FROM merged WHERE src = 'SIPS' GROUP BY ALL", **CHAIN,
+                                     "rfi_cost")) + " FROM merged GROUP BY ALL", **CHAIN,
 )
 def section_rollup(s):
-    """Serialised goods by section and week."""
-    return chain_report.section_rollup(chain_report.merged_report(facts(s), ["cap", "secn"], SINCE, False), "sips")
+    """Goods of all sources by section and week."""
+    return chain_report.section_rollup(chain_report.merged_report(facts(s), ["cap", "secn"], SINCE, False))
 
 
 @query(
@@ -205,10 +218,8 @@ def placed(report: str) -> str:
     return f"row_number() OVER (ORDER BY {order}) AS line_no"
 
 
-def written(df, report: str):
-    path = report_path(df.sparkSession)
-    report_files.write_report(df, path, report)
-    return report_files.read_report(df.sparkSession, path, df.schema)
+def read_back(s, path: str, schemas: dict, report: str):
+    return report_files.read_report(s.part.sparkSession, f"{path}/{report}", schemas[report])
 
 
 @query(
@@ -218,7 +229,8 @@ def written(df, report: str):
 )
 def chain_report_file(s):
     """The report by source as a file, read back line by line."""
-    return written(chain_report.chain_report(facts(s), SINCE)[0], "chain_by_source")
+    path = report_path(s.part.sparkSession)
+    return read_back(s, path, report_jobs.write_chain_reports(facts(s), path, SINCE), "chain_by_source")
 
 
 @query(
@@ -227,7 +239,8 @@ def chain_report_file(s):
 )
 def title_report_file(s):
     """The title report as a file; the columns shown are those of its order, so titles that tie look alike."""
-    return written(title_report.title_running_totals(s.fact_items, s.products, date(1998, 5, 3)), "titles")
+    path = report_path(s.part.sparkSession)
+    return read_back(s, path, report_jobs.write_title_report(s.fact_items, s.products, path, date(1998, 5, 3)), "titles")
 
 
 @query(
@@ -282,6 +295,28 @@ def work_program_detail(s):
     return program_rollup.program_detail(s, HISTORY[1], 400)
 
 
+@query(
+    "line_no:i yr:i wk:i program:s ship_qty:i",
+    f"""SELECT *, {placed('program_rollup')} FROM (SELECT {yr('min_dt')} AS yr, {wk('min_dt')} AS wk, program, sum(q) AS ship_qty
+        FROM program_rows GROUP BY ALL)""", **PROGRAMS,
+)
+def program_rollup_file(s):
+    """The program rollup as a file, read back line by line."""
+    path = report_path(s.part.sparkSession)
+    return read_back(s, path, report_jobs.write_program_reports(s, path, HISTORY[1], 400), "program_rollup")
+
+
+@query(
+    "line_no:i yr:i wk:i cap:s goal_grp:s",
+    f"""SELECT *, {placed('program_detail')} FROM (SELECT {yr('min_dt')} AS yr, {wk('min_dt')} AS wk, cap, goal_grp FROM program_rows
+        GROUP BY min_dt, yr, wk, cap, goal_grp, program)""", **PROGRAMS,
+)
+def program_detail_file(s):
+    """The program detail as a file, the latest week first; the columns shown are those of its order."""
+    path = report_path(s.part.sparkSession)
+    return read_back(s, path, report_jobs.write_program_reports(s, path, HISTORY[1], 400), "program_detail")
+
+
 @query(
     "min_dt:s yr:i wk:i program:s customer:s ship_to:s shipments:i items:i ship_qty:i ship_cost:d",
     f"""SELECT min_dt, {yr('min_dt')} AS yr, {wk('min_dt')} AS wk, program, head_customer AS customer, ship_to, count(DISTINCT o_orderkey) AS shipments,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from shelfweek.functions.dates import week_start, with_year_week
 from shelfweek.functions.measures import MONEY
 from shelfweek.plans.merged_rates import merged_rates
-from shelfweek.sources.tables import Sources, union_tiers
+from shelfweek.sources.tables import Sources, literal_rows, union_tiers
 
 AS_OF = date(2001, 11, 11)
 WEEKS = 358          # all weeks of the order data, from the end of 1994 on
@@ -34,6 +34,7 @@ MASTER_VENDORS = {"ECONOMY": "BS-i", "LARGE": "BS-r", "MEDIUM": "CDC", "PROMO":
 MASTER_GROUPS = {"ECONOMY": "BS", "LARGE": "BS", "MEDIUM": "CDC", "PROMO": "HRO", "SMALL": "TRO", "STANDARD": "HRO"}
 ORDER_TYPES = {1: "HPB Titles", 2: "TTB WHOLESALE", 3: "TTB Initial", 4: "HPB REORDERS", 5: "SUPPLIES",
                6: "WEBORDER", 7: "TTB Reorders"}
+SUBJECT_LABEL = ("B", "Subjects only")  # cap and label of a subject that no section shares
 COMPANIES = {"A": "HPB", "N": "TTB", "R": "SUP"}
 
 
@@ -147,8 +148,10 @@ def _section_map(s):
     shared = [cap.alias("cap"), cap.alias("goal_grp"), secn.alias("secn"),
               F.when(section < "Brand#2", "TEXASBKNON").alias("ttb_vendor"), section.alias("default_scheme")]
     null = F.lit(None).cast("string")
+    alone = literal_rows(s.part.sparkSession, [(None, "ALONE", SUBJECT_LABEL[0], SUBJECT_LABEL[0], SUBJECT_LABEL[1], None, None)],
+                         "section string, subj string, cap string, goal_grp string, secn string, ttb_vendor string, default_scheme string")
     return brands.select(section.alias("section"), null.alias("subj"), *shared).unionByName(
-        brands.select(null.alias("section"), section.alias("subj"), *shared))
+        brands.select(null.alias("section"), section.alias("subj"), *shared)).unionByName(alone)
 
 
 def _item_master(s):
@@ -650,9 +653,11 @@ def facts(s: Retail) -> Sources:
 
 
 def sales_by_year(s: Retail) -> list[DataFrame]:
+    """One shard a year, and one for lines without a date; an empty table is one empty shard."""
     year = F.year("business_date")
     first, last = s.sales_line.agg(F.min(year), F.max(year)).first()
-    return [s.sales_line.where(year == y) for y in range(first, last + 1)]
+    shards = [s.sales_line.where(year == y) for y in range(first, last + 1)] if first is not None else []
+    return [*shards, s.sales_line.where(year.isNull())]
 
 
 __all__ = ["Retail", "facts", "sales_by_year", "union_tiers", "AS_OF", "WEEKS", "ONLINE_AS_OF", "ONLINE_WEEKS"]

@@ -11,6 +11,8 @@ from shelfweek.functions.dates import hour_boundaries
 
 # How many slices one hot key is cut into by the salted operators.
 SPREAD = 16
+# How many rows the small side of a grid may have.
+GRID_ROWS = 100_000
 
 
 def _matches(names: list[str], null_safe: bool) -> Column:
@@ -38,14 +40,13 @@ def absent(df: DataFrame, keys: DataFrame, on: list[str], null_safe: bool = Fals
 def not_in(df: DataFrame, column: str, values: DataFrame) -> DataFrame:
     """``NOT IN`` with its null rules: one null in the list empties the result, a null value never passes.
 
-    ``values`` has one column, the list. It plans as a hash or sort-merge anti join with two one-row
-    lookups, where the SQL form would need the list broadcast or a nested loop.
+    ``values`` has one column, the list. It plans as a hash or sort-merge anti join with one lookup of the list's
+    size and nulls, where the SQL form would need the list broadcast or a nested loop.
     """
     listed = values.toDF(column)
-    size = listed.agg(F.count("*")).scalar()
-    nulls = listed.agg(F.count_if(F.col(column).isNull())).scalar()
-    kept = absent(df, listed.where(F.col(column).isNotNull()), [column])
-    return kept.where((size == 0) | ((nulls == 0) & F.col(column).isNotNull()))
+    facts = listed.agg(F.struct(F.count("*").alias("size"), F.count_if(F.col(column).isNull()).alias("nulls"))).scalar()
+    kept = absent(df, listed, [column])
+    return kept.where(F.when(F.col(column).isNull(), facts["size"] == 0).otherwise(facts["nulls"] == 0))
 
 
 def _salt(df: DataFrame, spread: int) -> Column:
@@ -80,13 +81,22 @@ def with_group_stats(df: DataFrame, by: list[str], null_safe: bool = True, **sta
 def all_pairs(left: DataFrame, right: DataFrame, spread: int | None = None) -> DataFrame:
     """Every row of ``left`` with every row of ``right``, for dimension frames whose grid is the result itself.
 
-    ``right`` is dealt into slices and ``left`` is copied once per slice, which turns the product into a partitioned
-    equi join. There are twice as many slices as shuffle partitions, so the grid is built by the whole cluster.
+    ``right`` is the small dimension. Its rows are brought beside each row of ``left`` as one array and exploded there, so
+    only the rows of ``left`` are shuffled, once, however wide the cluster is; the grid is built by all of its tasks. The
+    array is refused beyond ``GRID_ROWS`` rows. For two large dimensions give ``spread``: ``right`` is then dealt into that
+    many slices, ``left`` is copied once per slice, and the grid is a partitioned equi join.
     """
-    spread = spread or max(SPREAD, 2 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = right.withColumn("_slice", _salt(right, spread))
-    copied = left.withColumn("_slice", F.explode(_slices(spread)))
-    return copied.join(dealt, "_slice").drop("_slice")
+    if spread is not None:
+        dealt = right.withColumn("_slice", _salt(right, spread))
+        copied = left.withColumn("_slice", F.explode(_slices(spread)))
+        return copied.join(dealt, "_slice").drop("_slice")
+    names = [F.col(f"`{name}`") for name in left.columns]
+    refused = F.raise_error(F.lit(f"the small side of a grid has more than {GRID_ROWS} rows: give a spread")).cast("int")
+    wanted = F.when(F.count(F.lit(1)) > GRID_ROWS, refused).otherwise(GRID_ROWS)
+    rows = right.limit(GRID_ROWS + 1).agg(F.slice(F.collect_list(F.struct(*[F.col(f"`{name}`") for name in right.columns])), 1, wanted))
+    width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    beside = left.repartition(width, *names).select(*names, F.explode(rows.scalar()).alias("_row"))
+    return beside.select(*names, "_row.*")
 
 
 def dense_spine(*dimensions: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfweek.operators.windows import first_row
@@ -108,13 +108,29 @@ def report_weeks(stacked: DataFrame) -> DataFrame:
     return stacked.groupBy("yr", "wk").agg(F.min("min_dt").alias("min_dt"))
 
 
+def home_caps(stacked: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the cap they are reported under; ``at_store`` tells store rows from online rows.
+
+    Store and online rows meet by week, source and section, whatever their caps. A store row keeps its cap. An online row
+    keeps its own where a store row has it too, else it takes that of the store row, the first if there are several, so
+    that its amounts count once; without a store row it keeps its own. A window holds the few rows of one label and week.
+    """
+    label = Window.partitionBy(*[name for name in keys if name != "cap"])
+    first = F.min(F.when(F.col("at_store"), F.struct("cap"))).over(label)
+    shared = F.max("at_store").over(Window.partitionBy(*keys))
+    return stacked.withColumn("cap", F.when(F.col("at_store") | shared | first.isNull(), F.col("cap")).otherwise(first["cap"]))
+
+
 def merge_online(store: DataFrame, online: DataFrame, by: list[str]) -> DataFrame:
     """Store and online rows of the same week, source and label side by side; totals count both.
 
     Both sides are stacked and grouped once, which stands for a full outer join on keys that may be null.
     """
     keys = ["used_new", "src", *TIME, *by]
-    stacked = store.unionByName(online.withColumnRenamed("stores", "onl_stores"), allowMissingColumns=True)
+    online = online.withColumnRenamed("stores", "onl_stores").withColumn("at_store", F.lit(False))
+    stacked = store.withColumn("at_store", F.lit(True)).unionByName(online, allowMissingColumns=True)
+    if "cap" in by:
+        stacked = home_caps(stacked, keys)
     sums = [total(F.col(m)).cast(kind).alias(m) for m, kind in MEASURES.items()]
     if "stores" in store.columns:
         sums.append(F.coalesce(F.max("stores"), F.max("onl_stores")).alias("stores"))

@@ -19,6 +19,7 @@ from shelfweek.functions.text import drop_last_three, filled, pad_code, varchar
 from shelfweek.operators.joins import absent, key_union, look_up, nearest_in_time, not_in, present
 from shelfweek.plans.merged_rates import available_stock
 from shelfweek.plans.online_new import sections_of
+from shelfweek.sources.layout import pair_keys
 from shelfweek.sources.tables import Sources, staged
 
 LINE = ["item", "scheme_id", "qty", "status", "last_date", "notes1", "notes2", "notes3"]
@@ -40,26 +41,28 @@ def stock_with_waves(stock: DataFrame, shipment_detail: DataFrame) -> DataFrame:
     return stock.join(waves, "item", "left").fillna(0, subset=["wave_qty", "prog_qty"])
 
 
-def receipts(tiers: Tiers) -> DataFrame:
-    """Receipt lines of all tiers, summed per item and receipt."""
+def receipts(tiers: Tiers, items: DataFrame | None = None) -> DataFrame:
+    """Receipt lines of all tiers, summed per item and receipt; with ``items``, only theirs are read on."""
     stacked = None
     for headers, details in tiers:
-        heads = headers.select("internal_receipt_num", "receipt_id", "ship_from", "receipt_type", "close_date",
-                               "receipt_date")
-        lines = details.groupBy("internal_receipt_num", "item", "item_category3").agg(F.sum("total_qty").alias("qty"))
-        tier = lines.join(heads, "internal_receipt_num").drop("internal_receipt_num")
+        keys = pair_keys(headers, details, "internal_receipt_num")
+        heads = headers.select(*keys, "receipt_id", "ship_from", "receipt_type", "close_date", "receipt_date")
+        lines = details if items is None else present(details, items, ["item"])
+        lines = lines.groupBy(*keys, "item", "item_category3").agg(F.sum("total_qty").alias("qty"))
+        tier = lines.join(heads, keys).drop(*keys)
         stacked = tier if stacked is None else stacked.unionByName(tier)
     return stacked
 
 
-def purchase_orders(tiers: Tiers) -> DataFrame:
+def purchase_orders(tiers: Tiers, items: DataFrame | None = None) -> DataFrame:
+    """Order lines of all tiers, summed per item and order; with ``items``, only theirs are read on."""
     stacked = None
     for headers, details in tiers:
-        heads = headers.select("purchase_order_id", "ship_from", "receipt_type", "created_date_time")
-        lines = details.groupBy("purchase_order_id", "item", "item_category3").agg(
-            F.sum("total_quantity").alias("qty")
-        )
-        tier = lines.join(heads, "purchase_order_id")
+        keys = pair_keys(headers, details, "purchase_order_id")
+        heads = headers.select(*keys, "ship_from", "receipt_type", "created_date_time")
+        lines = details if items is None else present(details, items, ["item"])
+        lines = lines.groupBy(*keys, "item", "item_category3").agg(F.sum("total_quantity").alias("qty"))
+        tier = lines.join(heads, keys).drop(*keys[1:])
         stacked = tier if stacked is None else stacked.unionByName(tier)
     return stacked
 
@@ -191,13 +194,13 @@ def prefer_adjusted(lines: DataFrame) -> DataFrame:
 def stage_lines(src: Sources, as_of: date, receipt_time: str = "close_date", by_type: bool = False,
                 register: bool = True, drop_stocked: bool = False, rule: OrderNumbers = SIX_CHARACTERS) -> DataFrame:
     """All stages in one layout, adjusted goods preferred."""
-    stock = stock_with_waves(available_stock(src.wh_inventory, src.wh_location, in_transit=True),
-                             src.wh_shipment_detail)
+    stock = staged(stock_with_waves(available_stock(src.wh_inventory, src.wh_location, in_transit=True),
+                                    src.wh_shipment_detail), "stock")
     live_receipts, live_details = src.wh_receipt_tiers[0]
     order_heads, order_lines = src.wh_po_tiers[0]
     detail_tiers = [details for _, details in src.wh_receipt_tiers]
     stocked = staged(
-        stock_lines(stock, receipts(src.wh_receipt_tiers), purchase_orders(src.wh_po_tiers), receipt_time),
+        stock_lines(stock, receipts(src.wh_receipt_tiers, stock), purchase_orders(src.wh_po_tiers, stock), receipt_time),
         "stock-lines",
     )
     stages = [

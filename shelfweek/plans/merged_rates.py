@@ -13,6 +13,7 @@ from shelfweek.functions.measures import RATE, rate, total_if, zero
 from shelfweek.functions.text import pad_code
 from shelfweek.operators.joins import absent, key_union, present
 from shelfweek.plans.online_new import sections_of
+from shelfweek.sources.layout import pair_keys
 from shelfweek.sources.tables import Sources, staged
 
 DAYS = "decimal(19,5)"
@@ -48,19 +49,20 @@ def _monthly(quantity: Column, months: int) -> Column:
 
 
 def wholesale_lines(*tiers: tuple[DataFrame, DataFrame]) -> DataFrame:
-    """Shipped wholesale lines of live and archive header/detail pairs."""
+    """Shipped wholesale lines of live and archive header/detail pairs, or of one pair that holds all tiers."""
     stacked = None
     for headers, details in tiers:
+        keys = pair_keys(headers, details, "internal_shipment_num")
         heads = headers.where(F.col("actual_ship_date_time").isNotNull()).select(
-            "internal_shipment_num", F.col("actual_ship_date_time").alias("shipped"),
+            *keys, F.col("actual_ship_date_time").alias("shipped"),
             F.col("customer").alias("buyer"),
         )
         lines = details.where(
             F.col("order_type").isin(*fv.WHOLESALE_ORDER_TYPES)
             & (F.col("company") == "TTB")
             & ~F.col("customer").isin(*fv.WHOLESALE_SKIPPED_CUSTOMERS)
-        ).select("internal_shipment_num", "item", "total_qty")
-        tier = lines.join(heads, "internal_shipment_num").drop("internal_shipment_num")
+        ).select(*keys, "item", "total_qty")
+        tier = lines.join(heads, keys).drop(*keys)
         stacked = tier if stacked is None else stacked.unionByName(tier)
     return stacked
 

@@ -16,7 +16,9 @@ ORDERS = {
     "chain_by_source": ("used_new", "src", "yr", "wk", "fy", "fw", "fw_wk", "min_dt"),
     "chain_by_section": ("src", "min_dt", "cap", "secn"),
     "titles": ("loc_no", "min_dt", "-cur_sold_qty", "title"),
+    "program_detail": ("-yr", "-wk", "cap", "goal_grp"),
     "program_rollup": ("yr", "wk", "program"),
+    "section_rates": ("cap", "secn"),
     "inbound_detail": ("rord_grp", "title_code", "-status", "item_code"),
     "inbound_overview": ("cap", "secn"),
 }

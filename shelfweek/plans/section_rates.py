@@ -13,10 +13,11 @@ from shelfweek.functions.dates import (
 )
 from shelfweek.functions.measures import RATE, rate, total, total_if
 from shelfweek.functions.text import pad_code
-from shelfweek.operators.joins import attach, dense_spine, prior_year
+from shelfweek.operators.joins import absent, attach, dense_spine, prior_year
 from shelfweek.operators.windows import deltas, frame_rate, leading_rate, looks_ahead, series, trailing_rate
 from shelfweek.plans.inbound import open_receipt_rows
 from shelfweek.plans.online_new import sections_of
+from shelfweek.sources.layout import between_days, pair_keys
 from shelfweek.sources.tables import Sources, staged
 
 CHANNELS = {"": "sold_qty", "s": "st_sold_qty", "o": "onl_sold_qty", "w": "wh_sold_qty"}
@@ -46,9 +47,16 @@ def report_weeks(spark: SparkSession, as_of: date) -> DataFrame:
     return weeks.where(F.col("yr").between(year - 2, year))
 
 
-def section_weeks(section_map: DataFrame, weeks: DataFrame) -> DataFrame:
+def label_rows(section_map: DataFrame) -> DataFrame:
+    """The sections with their labels, and the labels that stand at subjects only; those have no section."""
     sections = sections_of(section_map).select("section", "cap", "goal_grp", "secn")
-    return dense_spine(sections, weeks.select("yr", "wk", "min_dt"))
+    subjects = section_map.where(F.col("section").isNull()).select("section", "cap", "goal_grp", "secn").distinct()
+    return sections.unionByName(absent(subjects, sections, ["cap", "secn"], null_safe=True))
+
+
+def section_weeks(section_map: DataFrame, weeks: DataFrame) -> DataFrame:
+    """Every label in every week; a label without a section has no sales, and so rows of zeros."""
+    return dense_spine(label_rows(section_map), weeks.select("yr", "wk", "min_dt"))
 
 
 def store_channel(new_goods: DataFrame) -> DataFrame:
@@ -67,21 +75,17 @@ def shipped_tiers(tiers, order_types, start: date | None = None, end: date | Non
                   company: str | None = None) -> DataFrame:
     """Shipped lines of live and archive tiers per week, section, order type and item."""
     stacked = None
-    stamp = F.col("actual_ship_date_time")
     for headers, details in tiers:
-        heads = headers.where(stamp.isNotNull())
-        if start is not None:
-            heads = heads.where(stamp >= F.lit(start))
-        if end is not None:
-            heads = heads.where(stamp < F.lit(end))
+        keys = pair_keys(headers, details, "internal_shipment_num")
+        heads = between_days(headers.where(F.col("actual_ship_date_time").isNotNull()), "actual_ship_date_time", start, end)
         lines = details.where(F.col("order_type").isin(*order_types))
         if company is not None:
             lines = lines.where(F.col("company") == company)
         lines = lines.select(
-            "internal_shipment_num", "order_type", "item", F.trim("item_category1").alias("section"), "total_qty"
+            *keys, "order_type", "item", F.trim("item_category1").alias("section"), "total_qty"
         )
-        dated = with_week(heads, "actual_ship_date_time").select("internal_shipment_num", "min_dt")
-        tier = lines.join(dated, "internal_shipment_num").groupBy("min_dt", "section", "order_type", "item").agg(
+        dated = with_week(heads, "actual_ship_date_time").select(*keys, "min_dt")
+        tier = lines.join(dated, keys).groupBy("min_dt", "section", "order_type", "item").agg(
             F.sum("total_qty").alias("qty")
         )
         stacked = tier if stacked is None else stacked.unionByName(tier)

@@ -12,6 +12,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.scheduler.mode": "FAIR",  # load steps that run side by side share the cluster
     "spark.sql.parquet.filterPushdown": "true",
 }
 

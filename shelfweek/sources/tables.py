@@ -7,11 +7,13 @@ import uuid
 from collections.abc import Iterable, Iterator, Mapping
 from contextlib import contextmanager
 from contextvars import ContextVar
+from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfweek.functions.text import clean_keys
 from shelfweek.operators.joins import absent, present
@@ -161,21 +163,86 @@ def reload(df: DataFrame, path: str, columns: Iterable[str]) -> None:
     atomic_write(df.select(*columns), path)
 
 
+# --- loads by whole partitions ---------------------------------------------------------------------
+
+@dataclass(frozen=True)
+class LoadCounts:
+    """What one load wrote: new or changed rows, those of them without a week, and the partitions that were replaced."""
+
+    rows: int
+    undated: int
+    parts: int
+
+
+def _part_folder(path: str, by: str, value) -> str:
+    return f"{path}/{by}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+
+
+def _in_parts(by: str, parts: Iterable) -> Column:
+    """A test on the partition column that the scan answers from the folder names."""
+    known = [value for value in parts if value is not None]
+    test = F.col(by).isin(*known) if known else F.lit(False)
+    return test | F.col(by).isNull() if None in parts else test
+
+
+def replace_parts(df: DataFrame, path: str, by: str, parts: list) -> None:
+    """Replace the listed partitions of a table by the rows of ``df``; a listed partition without rows goes.
+
+    ``df`` may read the table. The rows are first written beside it, as ``<path>.load``, which appears complete or not at
+    all; then the partitions are overwritten from there and the copy is removed. A load that is cut off in between is
+    finished by ``recover``, which the next load calls, so whatever happens all listed partitions are replaced or none.
+    """
+    spark = df.sparkSession
+    mark = f"{path}.load-{uuid.uuid4().hex}"
+    df.write.parquet(f"{mark}/rows")
+    spark.createDataFrame([(value,) for value in parts], T.StructType([df.schema[by]])).coalesce(1).write.parquet(f"{mark}/parts")
+    _rename(spark, mark, f"{path}.load")
+    recover(spark, path, by)
+
+
+def recover(spark: SparkSession, path: str, by: str) -> bool:
+    """Finish a load that wrote its rows but may not have replaced all partitions; says whether there was one."""
+    load = f"{path}.load"
+    if not _exists(spark, load):
+        return False
+    rows, parts = spark.read.parquet(f"{load}/rows"), [r[0] for r in spark.read.parquet(f"{load}/parts").collect()]
+    _overwrite_parts(rows, path, by)
+    filled = {r[0] for r in rows.select(by).distinct().collect()}  # partitions of one load
+    for value in parts:
+        if value not in filled:
+            _delete(spark, _part_folder(path, by, value))
+    _delete(spark, load)
+    return True
+
+
+def _overwrite_parts(rows: DataFrame, path: str, by: str) -> None:
+    """The rebalance hint gives each partition few files and still splits a large one over tasks."""
+    rows.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+
+
 def append_new(df: DataFrame, path: str, keys: list[str], window: tuple[date, date] | None = None,
-               week: str = "min_dt") -> None:
-    """Append the rows whose key is not stored yet; null keys match each other, so a rerun adds nothing.
+               week: str = "min_dt") -> LoadCounts:
+    """Add the rows whose key is not stored yet; null keys match each other, so a rerun adds nothing.
 
-    The table is partitioned by week. With the window of the new rows only their weeks of the stored table are
-    read. The rebalance hint gives each week few files and still splits a large week over tasks. One job
-    writes the new rows. If its commit fails part way, some rows may be stored: run the load again, it adds the
-    rest. Two loads of one table must not run at the same time.
+    The table is partitioned by week. With the window of the new rows only their weeks are compared. Weeks that gain rows
+    are replaced as a whole by their stored and new rows, all or none of them (``replace_parts``). The rows are counted
+    while they are written, without a second scan. Two loads of one table must not run at the same time.
     """
     spark = df.sparkSession
+    recover(spark, path, week)
     stored = read_or_empty(spark, path, df)
+    compared = stored
     if window is not None:
-        stored = stored.where((F.col(week) >= F.lit(window[0])) & (F.col(week) < F.lit(window[1])))
-    new_rows = only_new(stored, df, keys)
-    new_rows.hint("rebalance", week).write.mode("append").partitionBy(week).parquet(path)
+        compared = stored.where((F.col(week) >= F.lit(window[0])) & (F.col(week) < F.lit(window[1])))
+    seen = Observation()
+    found = only_new(compared, df, keys).observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(week).isNull()).alias("undated"))
+    with staging(spark):
+        new_rows = staged(found, "load")
+        counts = seen.get
+        weeks = [r[0] for r in new_rows.select(week).distinct().collect()]  # weeks of one load
+        if weeks:
+            replace_parts(stored.where(_in_parts(week, weeks)).unionByName(new_rows), path, week, weeks)
+    return LoadCounts(counts["rows"], counts["undated"], len(weeks))
 
 
 def export_csv(df: DataFrame, path: str, order_by: Iterable[str | Column] = ()) -> None:
