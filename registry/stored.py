@@ -4,19 +4,18 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
-
 from registry.base import query
-from registry.facts import MASTER, NEW_FOLDS, SERIAL, serial_sources
+from registry.facts import MASTER, NEW_FOLDS, SERIAL, serial_sources, typed
 from registry.inbound import CLOSED, DATED, LINE, stock_and_waves
 from registry.rates import ITEMS, MONTHS, YEARS, free_stock
 from registry.standins import AS_OF, WEEKS
 from shelfweek.functions.dates import week_bounds
-from shelfweek.plans import inbound, item_master, merged_rates, new_goods, serial_items, weekly
+from shelfweek.plans import inbound, item_master, merged_rates, new_goods, serial_items
 from shelfweek.sources import keyed, layout, tables
 
 RECENT_WEEKS = 60
 BUCKETS = 16
+FOLDED = ("shipments", "receipts", "transfers")
 
 
 def folder(s, name: str) -> str:
@@ -37,18 +36,13 @@ def serial_sales_stored_by_day(s):
     return serial_items.weekly_serial_sales(s, priced, *week_bounds(AS_OF, RECENT_WEEKS))
 
 
-@query("min_dt:s section:s loc_no:s ship_its:i ship_qty:i ship_cost:d ship_val:d", "SELECT * FROM f_ship", **NEW_FOLDS)
-def shipments_in_buckets(s):
-    """Shipment headers and lines that lie in buckets of their key and join without a shuffle."""
-    spark = s.part.sparkSession
-    mark = uuid.uuid4().hex
-    for name in ("shipment_header", "shipment_detail"):
-        path = folder(s, name)
-        layout.write_bucketed(s[name], f"written_{name}_{mark}", path, ["transfer_id"], BUCKETS)
-        s[name] = layout.open_bucketed(spark, f"opened_{name}_{mark}", path, s[name].schema, ["transfer_id"], BUCKETS)
-    fold = weekly.fold_shipments(s, weekly.new_goods_products(s), ["section"], *week_bounds(AS_OF, WEEKS), weekly.store_list(s.locations))
-    names = [name for name in fold.columns if name not in new_goods.KEYS]
-    return fold.groupBy(*new_goods.KEYS).agg(*[F.sum(name).alias(name) for name in names])
+@query("min_dt:s section:s loc_no:s " + typed(new_goods.MEASURES), "SELECT * FROM acts", **NEW_FOLDS)
+def new_goods_in_buckets(s):
+    """All measures of the new goods from headers and lines that lie in buckets of their key and join without a shuffle."""
+    names = ("products", "base_inventory", "locations", "sales_line", *[t for pair in FOLDED for t in layout.FACT_PAIRS[pair][:2]])
+    src = tables.Sources({name: s[name] for name in names})
+    src = layout.bucket_facts(src, folder(s, "buckets"), BUCKETS, FOLDED, f"facts_{uuid.uuid4().hex}")
+    return new_goods.new_goods_activity(src, *week_bounds(AS_OF, WEEKS))
 
 
 def stored_pair(s, tiers, name: str, key: str, day: str):

@@ -22,7 +22,7 @@ def diff_facts(new: DataFrame, old: DataFrame, week: str = "min_dt") -> DataFram
 
 def diff_both_ways(new: DataFrame, old: DataFrame, week: str = "min_dt") -> DataFrame:
     same_weeks = present(old, new.select(week), [week]).select(*new.columns)
-    gained = new.subtract(same_weeks).withColumn("side", F.lit("new"))
+    gained = diff_facts(new, old, week).withColumn("side", F.lit("new"))
     lost = same_weeks.subtract(new).withColumn("side", F.lit("old"))
     return gained.unionByName(lost)
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfweek.operators.joins import present
+from shelfweek.sources.tables import Sources
 
 TIER, YEAR = "tier", "tier_year"
 
@@ -59,6 +60,35 @@ def open_bucketed(spark: SparkSession, table: str, path: str, schema: T.StructTy
     return spark.table(table)
 
 
+# Headers and details that the weekly facts join, and the key they share.
+FACT_PAIRS = {
+    "shipments": ("shipment_header", "shipment_detail", ["transfer_id"]),
+    "receipts": ("receiving_header", "receiving_detail", ["batch_id"]),
+    "transfers": ("transfer_header", "transfer_detail", ["transfer_bin_no"]),
+    "sales": ("sales_header", "sales_line", ["location_id", "business_date", "sales_xaction_id", "xaction_type"]),
+}
+
+
+def bucket_facts(src: Sources, path: str, buckets: int, pairs: Iterable[str] = tuple(FACT_PAIRS), mark: str = "bucketed") -> Sources:
+    """Store the named pairs in buckets and return the sources with them in place of the tables they came from.
+
+    A later session gets them by ``open_facts``; ``mark`` sets the tables' names apart from others in the session.
+    """
+    for header, detail, keys in (FACT_PAIRS[name] for name in pairs):
+        for table in (header, detail):
+            write_bucketed(src[table], f"{mark}_{table}", f"{path}/{table}", keys, buckets)
+    return open_facts(src, path, buckets, pairs, mark)
+
+
+def open_facts(src: Sources, path: str, buckets: int, pairs: Iterable[str] = tuple(FACT_PAIRS), mark: str = "bucketed") -> Sources:
+    """The sources with the named pairs read from their buckets; ``src`` tells the columns of each table."""
+    opened = Sources(src)
+    for header, detail, keys in (FACT_PAIRS[name] for name in pairs):
+        for table in (header, detail):
+            opened[table] = open_bucketed(src[table].sparkSession, f"{mark}_{table}", f"{path}/{table}", src[table].schema, keys, buckets)
+    return opened
+
+
 # --- tiers ----------------------------------------------------------------------------------------
 
 def write_pairs(tiers: Mapping[str, tuple[DataFrame, DataFrame]], path: str, key: str, day: str) -> None:

@@ -10,7 +10,7 @@ from shop import AS_OF, shop
 
 from shelfweek.functions.dates import week_bounds
 from shelfweek.operators import joins
-from shelfweek.plans import merged_rates, refresh, serial_items, weekly
+from shelfweek.plans import merged_rates, new_goods, refresh, serial_items, weekly
 from shelfweek.sources import keyed, layout, tables
 
 WEEKS = [date(2024, 1, 7) + timedelta(days=7 * k) for k in range(4)]
@@ -210,27 +210,23 @@ def partitions_read(df):
 
 def test_buckets_join_without_a_shuffle(spark, rows, tmp_path):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    src = shop(spark)
-    for name, n in (("shipment_header", 4), ("shipment_detail", 4)):
-        layout.write_bucketed(src[name], f"t_{name}", str(tmp_path / name), ["transfer_id"], n)
+    src, window, pairs = shop(spark), week_bounds(AS_OF), ("shipments", "receipts", "transfers")
+    layout.bucket_facts(src, str(tmp_path), 4, pairs, "written")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        window = week_bounds(AS_OF)
+        dealt = layout.open_facts(src, str(tmp_path), 4, pairs, "opened")  # as another session would
+        assert rows(new_goods.new_goods_activity(dealt, *window)) == rows(new_goods.new_goods_activity(src, *window))
+        for header, detail, keys in (layout.FACT_PAIRS[name] for name in pairs):
+            plan = executed(dealt[detail].join(dealt[header], keys))
+            assert "Exchange" not in plan and "SortMergeJoin" in plan
         goods = weekly.new_goods_products(src)
-        plain = weekly.fold_shipments(src, goods, ["section"], *window)
-        opened = {name: layout.open_bucketed(spark, f"u_{name}", str(tmp_path / name), src[name].schema, ["transfer_id"], 4) for name in ("shipment_header", "shipment_detail")}
-        dealt = tables.Sources({**src, **opened})
-        assert rows(weekly.fold_shipments(dealt, goods, ["section"], *window)) == rows(plain)
-        joined = dealt.shipment_detail.join(dealt.shipment_header, "transfer_id")
-        assert "Exchange" not in executed(joined) and "SortMergeJoin" in executed(joined)
-        plan = executed(weekly.fold_shipments(dealt, goods, ["section"], *window))
-        below = plan[plan.index("SortMergeJoin [transfer_id"):]
-        other = executed(weekly.fold_shipments(src, goods, ["section"], *window))
-        assert below.count("hashpartitioning(transfer_id") == 0 and other.count("hashpartitioning(transfer_id") >= 2
+        plans = {name: executed(weekly.fold_shipments(s, goods, ["section"], *window)) for name, s in (("plain", src), ("dealt", dealt))}
+        assert plans["plain"].count("hashpartitioning(transfer_id") >= 2 and "hashpartitioning(transfer_id" not in plans["dealt"]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-        for name in ("t_shipment_header", "t_shipment_detail", "u_shipment_header", "u_shipment_detail"):
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        for table in (t for name in pairs for t in layout.FACT_PAIRS[name][:2]):
+            spark.sql(f"DROP TABLE IF EXISTS written_{table}")
+            spark.sql(f"DROP TABLE IF EXISTS opened_{table}")
 
 
 def shipments(spark, first, n, year):
