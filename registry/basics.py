@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from registry.base import query
 from registry.oracle_tables import code, po, sunday, week_no, wk, yr
-from registry.standins import AS_OF, WEEKS
+from registry.standins import order_weeks
 from shelfweek.functions import dates, text
 from shelfweek.functions.measures import total
 from shelfweek.plans import weekly
@@ -22,7 +22,7 @@ from shelfweek.plans import weekly
 )
 def weekly_sales(s):
     """Store sales of new goods per week, section and store."""
-    start, end = dates.week_bounds(AS_OF, WEEKS)
+    start, end = dates.week_bounds(*order_weeks(s))
     sold = weekly.fold_sales(s, weekly.new_goods_products(s), ["section"], start, end, weekly.store_list(s.locations))
     names = ("sold_qty", "sold_cost", "sold_val", "list_val", "md_sold_qty", "md_sold_val")
     return sold.groupBy("min_dt", "section", "loc_no").agg(
@@ -36,7 +36,7 @@ def weekly_sales(s):
 )
 def retail_calendar_key(s):
     """Orders per day of the generated retail calendar, summed by its labels."""
-    start, end = dates.week_bounds(AS_OF, WEEKS)
+    start, end = dates.week_bounds(*order_weeks(s))
     days = dates.retail_calendar(s.orders.sparkSession, start, end)
     orders = s.orders.select(F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").cast("decimal(19,4)").alias("v"))
     return orders.join(days, "day").groupBy("first_day", "yr", "wk").agg(
@@ -50,7 +50,7 @@ def retail_calendar_key(s):
 )
 def week_table(s):
     """Order lines bucketed into the weeks of the week table."""
-    weeks = dates.week_table(s.lineitem.sparkSession, *dates.week_bounds(AS_OF, WEEKS))
+    weeks = dates.week_table(s.lineitem.sparkSession, *dates.week_bounds(*order_weeks(s)))
     counts = dates.with_week(s.lineitem, "l_shipdate").groupBy("min_dt").agg(F.count("*").alias("lines"))
     return weeks.join(counts, "min_dt")
 

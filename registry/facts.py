@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from registry.base import query
 from registry.oracle_tables import M, code, compose, sunday, wk, yr
-from registry.standins import AS_OF, ONLINE_AS_OF, ONLINE_WEEKS, WEEKS, Retail
+from registry.standins import Retail, all_weeks, online_weeks, order_weeks
 from shelfweek.functions.dates import week_bounds
 from shelfweek.functions.measures import MONEY
 from shelfweek.plans import base_inventory, frontline, frontline_items, item_master, new_goods, online_new, online_used
@@ -101,7 +101,7 @@ def summed(df, by, measures):
     "SELECT * FROM f_ship", **NEW_FOLDS,
 )
 def weekly_shipments(s):
-    start, end = week_bounds(AS_OF, WEEKS)
+    start, end = week_bounds(*order_weeks(s))
     fold = weekly.fold_shipments(s, weekly.new_goods_products(s), ["section"], start, end, weekly.store_list(s.locations))
     names = [name for name in fold.columns if name not in new_goods.KEYS]
     return fold.groupBy(*new_goods.KEYS).agg(*[F.sum(name).alias(name) for name in names])
@@ -112,7 +112,7 @@ def weekly_shipments(s):
     "SELECT * FROM f_rcv", **NEW_FOLDS,
 )
 def weekly_receiving(s):
-    start, end = week_bounds(AS_OF, WEEKS)
+    start, end = week_bounds(*order_weeks(s))
     fold = weekly.fold_receiving(s, weekly.new_goods_products(s), ["section"], start, end, weekly.store_list(s.locations))
     names = [name for name in fold.columns if name not in new_goods.KEYS]
     return fold.groupBy(*new_goods.KEYS).agg(*[F.sum(name).alias(name) for name in names])
@@ -124,7 +124,7 @@ def weekly_receiving(s):
 )
 def new_goods_activity(s):
     """All measures of the new goods at their sparse keys."""
-    return new_goods.new_goods_activity(s, *week_bounds(AS_OF, WEEKS))
+    return new_goods.new_goods_activity(s, *week_bounds(*order_weeks(s)))
 
 
 @query(
@@ -137,7 +137,7 @@ def new_goods_activity(s):
 )
 def location_detail(s):
     """Dense culled detail of the new goods, summed over stores with its number of cells."""
-    return summed(new_goods.weekly_new_goods(s, AS_OF, WEEKS), ["yr", "wk", "section"], new_goods.MEASURES)
+    return summed(new_goods.weekly_new_goods(s, *order_weeks(s)), ["yr", "wk", "section"], new_goods.MEASURES)
 
 
 @query(
@@ -148,7 +148,7 @@ def location_detail(s):
 )
 def cull_inactive(s):
     """Which weeks and sections survive per store."""
-    return new_goods.weekly_new_goods(s, AS_OF, WEEKS).groupBy("loc_no").agg(
+    return new_goods.weekly_new_goods(s, *order_weeks(s)).groupBy("loc_no").agg(
         F.min("min_dt").alias("first_week"), F.max("min_dt").alias("last_week"), F.count("*").alias("cells"),
         F.count_distinct("section").alias("sections"))
 
@@ -165,7 +165,7 @@ def cull_inactive(s):
 )
 def frontline_src_prog(s):
     """Frontline facts with source and program, summed over stores."""
-    return summed(frontline.weekly_frontline(s, AS_OF, WEEKS), ["yr", "wk", "src", "prog", "section"], frontline.MEASURES)
+    return summed(frontline.weekly_frontline(s, *order_weeks(s)), ["yr", "wk", "src", "prog", "section"], frontline.MEASURES)
 
 
 BASE = {
@@ -192,7 +192,7 @@ BASE = {
     "min_dt:s item_code:s loc_no:s buy_qty:i buy_cost:d", "SELECT * FROM b_buy", **BASE,
 )
 def weekly_buys(s):
-    start, end = week_bounds(AS_OF, WEEKS)
+    start, end = week_bounds(*order_weeks(s))
     return base_inventory.weekly_buys(s, base_inventory.base_items(s), start, end, weekly.store_list(s.locations))
 
 
@@ -206,7 +206,7 @@ def weekly_buys(s):
 )
 def base_inventory_facts(s):
     """Used base-inventory facts, summed over stores and weeks of a year."""
-    return summed(base_inventory.weekly_base_inventory(s, AS_OF, WEEKS), ["yr", "item_code"], base_inventory.MEASURES)
+    return summed(base_inventory.weekly_base_inventory(s, *order_weeks(s)), ["yr", "item_code"], base_inventory.MEASURES)
 
 
 SERIAL = {
@@ -241,7 +241,7 @@ def serial_sources(s: Retail) -> Retail:
     "min_dt:s subj:s loc_no:s made_qty:i made_list:d", "SELECT * FROM s_made", **SERIAL,
 )
 def weekly_items_created(s):
-    start, end = week_bounds(AS_OF, WEEKS)
+    start, end = week_bounds(*order_weeks(s))
     return serial_items.weekly_items_created(serial_items.priced_inventory(s, start, end), start, end)
 
 
@@ -251,7 +251,7 @@ def weekly_items_created(s):
 )
 def weekly_serial_sales(s):
     s = serial_sources(s)
-    start, end = week_bounds(AS_OF, WEEKS)
+    start, end = week_bounds(*order_weeks(s))
     return serial_items.weekly_serial_sales(s, serial_items.priced_inventory(s, start, end), start, end)
 
 
@@ -264,7 +264,7 @@ def weekly_serial_sales(s):
 )
 def serial_facts(s):
     """Used serialised-item facts, summed over stores."""
-    return summed(serial_items.weekly_serial_items(serial_sources(s), AS_OF, WEEKS), ["yr", "wk", "subj"],
+    return summed(serial_items.weekly_serial_items(serial_sources(s), *order_weeks(s)), ["yr", "wk", "subj"],
                   serial_items.MEASURES)
 
 
@@ -307,7 +307,7 @@ ITEM_FOLDS["i_live"] = f"""SELECT * FROM i_acts
 )
 def item_detail_sparse(s):
     """Frontline item facts over store and online history, summed over stores and items."""
-    facts = frontline_items.weekly_frontline_items(s, ONLINE_AS_OF, 1525)
+    facts = frontline_items.weekly_frontline_items(s, *all_weeks(s))
     return facts.groupBy("yr", "wk", "src", "prog").agg(
         F.count("*").alias("cells"), F.count_distinct("ean").alias("titles"),
         *[F.sum(n).alias(n) for n in frontline_items.MEASURES])
@@ -324,7 +324,7 @@ def item_detail_sparse(s):
 )
 def combined_store_online(s):
     """Store and online sales of an item side by side; neither side multiplies the other."""
-    acts = frontline_items.frontline_item_activity(s, *week_bounds(ONLINE_AS_OF, 1525))
+    acts = frontline_items.frontline_item_activity(s, *week_bounds(*all_weeks(s)))
     places = s.locations.select(F.col("location_no").alias("loc_no"))
     names = ["st_sold_qty", "st_sold_val", "onl_sold_qty", "onl_sold_val", "onl_sold_fee", "md_onl_sold_qty",
              "md_onl_sold_val", "onl_rfnd_qty", "onl_rfnd_val"]
@@ -354,7 +354,7 @@ ONLINE_NEW = {
 
 @query(ONLINE_COLUMNS, "SELECT * FROM online_new_rows", **ONLINE_NEW)
 def online_rollup_new(s):
-    return online_new.weekly_online_new(s, ONLINE_AS_OF, ONLINE_WEEKS)
+    return online_new.weekly_online_new(s, *online_weeks(s))
 
 
 ONLINE_USED = {
@@ -382,7 +382,7 @@ ONLINE_USED = {
 
 @query(ONLINE_COLUMNS, "SELECT * FROM online_used_rows", **ONLINE_USED)
 def online_rollup_used(s):
-    return online_used.weekly_online_used(s, ONLINE_AS_OF, ONLINE_WEEKS)
+    return online_used.weekly_online_used(s, *online_weeks(s))
 
 
 MASTER = {
@@ -449,7 +449,7 @@ def weekly_refresh(s):
     target = f"{shared_folder(spark)}/shelfweek-refresh/{uuid.uuid4().hex}"
     src = Sources({name: s[name] for name in REFRESH_TABLES})
     src["item_master"] = s.stored_master
-    first, again = (refresh.weekly_refresh(spark, src, target, ONLINE_AS_OF, 1525, at_once=3) for _ in range(2))
+    first, again = (refresh.weekly_refresh(spark, src, target, *all_weeks(s), at_once=3) for _ in range(2))
     rows = None
     for step, table, keys in (("item_master", "item_master", ["item_code"]), *((step, table, keys) for step, table, _, keys in refresh.FACTS)):
         counted = spark.read.parquet(f"{target}/{table}").groupBy(*keys).agg(F.count("*").alias("n")).agg(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from registry.base import query
 from registry.oracle_tables import M, code
-from registry.standins import AS_OF, ONLINE_AS_OF, ONLINE_WEEKS, WEEKS
+from registry.standins import online_weeks, order_weeks
 from shelfweek.functions.dates import week_bounds
 from shelfweek.functions.measures import age_bucket_sums, any_nonzero, net, net_marked_down, plausible_cost, rate, total
 from shelfweek.operators.windows import latest_value
@@ -26,7 +26,7 @@ PIVOT = ", ".join(
 )
 def transfer_pivot(s):
     """Transfers by kind in columns, per week and store."""
-    cells = weekly.transfer_cells(weekly.transfer_lines(s, *week_bounds(AS_OF, WEEKS)))
+    cells = weekly.transfer_cells(weekly.transfer_lines(s, *week_bounds(*order_weeks(s))))
     measures = [name for name in cells.columns if name not in weekly.CELL]
     return cells.groupBy("min_dt", "loc_no").agg(*[F.sum(name).alias(name) for name in measures])
 
@@ -40,7 +40,7 @@ def transfer_pivot(s):
 )
 def transfer_balance(s):
     """Goods moved in, out and net per store, plausible lines only."""
-    cells = weekly.transfer_cells(weekly.transfer_lines(s, *week_bounds(AS_OF, WEEKS), plausible_only=True))
+    cells = weekly.transfer_cells(weekly.transfer_lines(s, *week_bounds(*order_weeks(s)), plausible_only=True))
     return weekly.transfer_balance(cells, ["loc_no"])
 
 
@@ -172,5 +172,5 @@ def guarded_rate(s):
 )
 def cost_fallback(s):
     """Serialised goods sold online with the average cost of store, type and month, or a share of the amount."""
-    start, end = week_bounds(ONLINE_AS_OF, ONLINE_WEEKS)
+    start, end = week_bounds(*online_weeks(s))
     return with_estimated_cost(used_cells(serial_events(s, start, end)), s.avg_cost, s.cost_factors)

@@ -7,7 +7,7 @@ same derivations in SQL.
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +17,8 @@ from shelfweek.functions.measures import MONEY
 from shelfweek.plans.merged_rates import merged_rates
 from shelfweek.sources.tables import Sources, literal_rows, union_tiers
 
-AS_OF = date(2001, 11, 11)
-WEEKS = 358          # all weeks of the order data, from the end of 1994 on
-ONLINE_AS_OF = date(2024, 2, 18)
-ONLINE_WEEKS = 8     # all weeks of the event data, with the refunds that follow
+AS_OF = date(2001, 11, 11)  # the day that reports with a "current" period are made on
+REFUND_DAYS = 7  # the longest time from an online sale to its refund
 LIVE_FROM = date(2000, 1, 1)
 ARCHIVE_FROM = date(1997, 1, 1)
 
@@ -660,4 +658,32 @@ def sales_by_year(s: Retail) -> list[DataFrame]:
     return [*shards, s.sales_line.where(year.isNull())]
 
 
-__all__ = ["Retail", "facts", "sales_by_year", "union_tiers", "AS_OF", "WEEKS", "ONLINE_AS_OF", "ONLINE_WEEKS"]
+def _covering(*bounds: tuple[DataFrame, Column, Column]) -> tuple[date, int]:
+    """(as_of, weeks) of the window that holds all weeks between the first and the last of the given days; one row a table."""
+    found = [df.agg(F.min(week_start(first)), F.max(week_start(last))).first() for df, first, last in bounds]
+    firsts, lasts = [r[0] for r in found if r[0] is not None], [r[1] for r in found if r[1] is not None]
+    if not firsts:
+        return AS_OF, 1
+    end = max(lasts) + timedelta(weeks=1)
+    return end, (end - min(firsts)).days // 7
+
+
+def order_weeks(s: Retail) -> tuple[date, int]:
+    """All weeks of the orders and their lines, as the tables have them."""
+    ordered, shipped = F.col("o_orderdate"), F.col("l_shipdate")
+    return _covering((s.orders, ordered, ordered), (s.lineitem, shipped, shipped))
+
+
+def online_weeks(s: Retail) -> tuple[date, int]:
+    """All weeks of the events, with those of the refunds that follow."""
+    return _covering((s.events, F.col("ts"), F.col("ts") + F.expr(f"interval {REFUND_DAYS} days")))
+
+
+def all_weeks(s: Retail) -> tuple[date, int]:
+    """From the first to the last week of orders and events."""
+    windows = [order_weeks(s), online_weeks(s)]
+    end, start = max(w[0] for w in windows), min(w[0] - timedelta(weeks=w[1]) for w in windows)
+    return end, (end - start).days // 7
+
+
+__all__ = ["AS_OF", "Retail", "all_weeks", "facts", "online_weeks", "order_weeks", "sales_by_year", "union_tiers"]

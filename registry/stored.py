@@ -8,7 +8,7 @@ from registry.base import query
 from registry.facts import MASTER, NEW_FOLDS, SERIAL, serial_sources, typed
 from registry.inbound import CLOSED, DATED, LINE, stock_and_waves
 from registry.rates import ITEMS, MONTHS, YEARS, free_stock
-from registry.standins import AS_OF, WEEKS
+from registry.standins import AS_OF, order_weeks
 from shelfweek.functions.dates import week_bounds
 from shelfweek.plans import inbound, item_master, merged_rates, new_goods, serial_items
 from shelfweek.sources import keyed, layout, tables
@@ -29,7 +29,7 @@ def folder(s, name: str) -> str:
 )
 def serial_sales_stored_by_day(s):
     """The latest weeks of register lines out of a table with a folder a day; the other folders are not read."""
-    priced = serial_items.priced_inventory(s, *week_bounds(AS_OF, WEEKS))
+    priced = serial_items.priced_inventory(s, *week_bounds(*order_weeks(s)))
     path = folder(s, "lines")
     layout.write_by_day(serial_sources(s).sales_line, path, "business_date")
     s["sales_line"] = s.part.sparkSession.read.parquet(path)
@@ -42,7 +42,7 @@ def new_goods_in_buckets(s):
     names = ("products", "base_inventory", "locations", "sales_line", *[t for pair in FOLDED for t in layout.FACT_PAIRS[pair][:2]])
     src = tables.Sources({name: s[name] for name in names})
     src = layout.bucket_facts(src, folder(s, "buckets"), BUCKETS, FOLDED, f"facts_{uuid.uuid4().hex}")
-    return new_goods.new_goods_activity(src, *week_bounds(AS_OF, WEEKS))
+    return new_goods.new_goods_activity(src, *week_bounds(*order_weeks(s)))
 
 
 def stored_pair(s, tiers, name: str, key: str, day: str):
