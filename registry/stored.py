@@ -27,11 +27,11 @@ def folder(s, name: str) -> str:
     "age_180:i age_365:i",
     f"SELECT * FROM s_sale WHERE min_dt >= DATE '{week_bounds(AS_OF, RECENT_WEEKS)[0]}' AND min_dt < DATE '{week_bounds(AS_OF, RECENT_WEEKS)[1]}'", **SERIAL,
 )
-def serial_sales_stored_by_day(s):
-    """The latest weeks of register lines out of a table with a folder a day; the other folders are not read."""
+def serial_sales_of_stored_weeks(s):
+    """The latest weeks of register lines out of a table with a folder a week of business dates; the other folders are not read."""
     priced = serial_items.priced_inventory(s, *week_bounds(*order_weeks(s)))
     path = folder(s, "lines")
-    layout.write_by_day(serial_sources(s).sales_line, path, "business_date")
+    layout.write_by_day(serial_sources(s).sales_line, path, "business_date", whole_weeks=True)
     s["sales_line"] = s.part.sparkSession.read.parquet(path)
     return serial_items.weekly_serial_sales(s, priced, *week_bounds(AS_OF, RECENT_WEEKS))
 

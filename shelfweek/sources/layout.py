@@ -1,6 +1,6 @@
 """How large tables are laid out on disk so that jobs read and shuffle less of them.
 
-* Register lines lie in one folder a day; a job that knows the days of its sales reads those folders only.
+* Register lines lie in one folder a day or week; a job that knows the days of its sales reads those folders only.
 * Headers and details that are joined again and again lie in buckets of their key, so the join needs no shuffle.
 * Live and archive tiers of a header and detail table are one table each, partitioned by tier and year.
 """
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfweek.functions.dates import week_start
 from shelfweek.operators.joins import present
 from shelfweek.sources.tables import Sources
 
@@ -23,17 +24,27 @@ TIER, YEAR = "tier", "tier_year"
 
 # --- by day ---------------------------------------------------------------------------------------
 
-def write_by_day(lines: DataFrame, path: str, day: str) -> None:
-    """One folder a day. The rebalance hint gives a day few files and splits a large one over tasks."""
-    lines.hint("rebalance", day).write.mode("overwrite").partitionBy(day).parquet(path)
+def week_column(day: str) -> str:
+    return f"{day}_week"
+
+
+def write_by_day(lines: DataFrame, path: str, day: str, whole_weeks: bool = False) -> None:
+    """One folder a day, or one a week where the lines of a day are few. The rebalance hint splits a large one over tasks."""
+    by = week_column(day) if whole_weeks else day
+    if whole_weeks:
+        lines = lines.withColumn(by, week_start(F.col(day)))
+    lines.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(path)
 
 
 def on_days_of(lines: DataFrame, heads: DataFrame, day: str) -> DataFrame:
-    """The lines of the days that ``heads`` has; the days are known only when the job runs.
+    """The lines of the days that ``heads`` has, or of their weeks; the days are known only when the job runs.
 
-    On a table that is stored by day the scan skips all other folders. The list of days is broadcast: it has one row a
-    day, however many headers there are.
+    On a table that is stored by day or week the scan skips all other folders. The list is broadcast: it has one row a
+    day at most, however many headers there are.
     """
+    week = week_column(day)
+    if week in lines.columns:
+        return present(lines, F.broadcast(heads.select(week_start(F.col(day)).alias(week)).distinct()), [week]).drop(week)
     return present(lines, F.broadcast(heads.select(day).distinct()), [day])
 
 

@@ -174,9 +174,10 @@ def register(spark, days=40):
     return lines, heads, priced
 
 
-def test_a_weekly_load_reads_the_days_of_its_sales_only(spark, rows, tmp_path):
+@pytest.mark.parametrize("whole_weeks, folders", [(False, 7), (True, 1)])
+def test_a_weekly_load_reads_the_days_of_its_sales_only(spark, rows, tmp_path, whole_weeks, folders):
     lines, heads, priced = register(spark)
-    layout.write_by_day(lines, str(tmp_path / "lines"), "business_date")
+    layout.write_by_day(lines, str(tmp_path / "lines"), "business_date", whole_weeks)
     start, end = week_bounds(AS_OF)
     plain = serial_items.weekly_serial_sales(tables.Sources(sales_line=lines, sales_header=heads), priced, start, end)
     src = tables.Sources(sales_line=spark.read.parquet(str(tmp_path / "lines")), sales_header=heads)
@@ -184,7 +185,7 @@ def test_a_weekly_load_reads_the_days_of_its_sales_only(spark, rows, tmp_path):
     assert rows(sold) == rows(plain) and sold.collect()[0]["sold_qty"] == 21
     plan = executed(sold)
     assert "dynamicpruning" in plan
-    assert partitions_read(sold) == 7
+    assert partitions_read(sold) == folders
 
 
 def partitions_read(df):
