@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from shelfweek.sources.tables import staged, staging
 
-__all__ = ["SPACE", "WORD", "documents_of", "let", "packed", "staged", "staging", "table", "unpacked", "words_of"]
+__all__ = ["SPACE", "WORD", "let", "packed", "sized", "staged", "staging", "table", "unpacked", "words_of"]
+
+FILE_BYTES = 16 << 20
 
 # A word is a run of characters other than ASCII white space; the same pattern is valid in Spark and in DuckDB.
 SPACE = r"[\x20\x09-\x0D]"
@@ -42,3 +44,12 @@ def unpacked(df: DataFrame, **replaced: Column) -> DataFrame:
         (replaced[field.name].cast(field.dataType) if field.name in replaced else F.col("row").getField(field.name)).alias(field.name)
         for field in fields
     ])
+
+
+def sized(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
+    """``df`` in no more partitions than its bytes need, about ``FILE_BYTES`` each.
+
+    A shuffle that is as wide as the cluster would leave one file a task, however few rows there are, and its readers one
+    task a file. ``rows`` is an upper bound. Where the bytes need more partitions than there are, nothing changes.
+    """
+    return df.coalesce(max(1, -(-rows * row_bytes // FILE_BYTES)))

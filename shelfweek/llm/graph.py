@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfweek.llm.common import staged
+from shelfweek.llm.common import sized, staged
+
+LINK_BYTES = 16
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -33,10 +35,12 @@ def components(links: DataFrame) -> DataFrame:
     Each round is written to the shared folder, so lost executors repeat one round at most. A star is final after one
     round; long chains shrink geometrically.
     """
-    current = staged(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "links")
+    distinct = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
+    current = staged(sized(distinct, links.count(), LINK_BYTES), "links")
     before = _state(current)
     while before[0]:
-        current = staged(_small_star(_large_star(current)), "links")
+        # Either star leaves at most one link for each link and node it has.
+        current = staged(sized(_small_star(_large_star(current)), 4 * before[0], LINK_BYTES), "links")
         after = _state(current)
         if after == before:
             break

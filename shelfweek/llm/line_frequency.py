@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfweek.llm.common import SPACE, let, packed, staged, unpacked, words_of
+from shelfweek.llm.common import SPACE, let, packed, sized, staged, unpacked, words_of
 
 # Limits of the base rule and of the method; the queries use them as they stand.
 MIN_WORDS = 20
@@ -24,6 +24,7 @@ LIMIT_PERCENT = 2
 LIMIT_TEXTS = 10
 LEFT_WORDS = 20
 LEFT_PERCENT = 30
+DOCUMENT_BYTES = 4_000  # of one document, as a rough size for the number of files
 
 
 def _repeated_words(hashes: Column) -> Column:
@@ -106,7 +107,9 @@ def _removed(texts: DataFrame, frequent: DataFrame) -> DataFrame:
 
 def _judged(docs: DataFrame, keep: list[str], text: str, host: str, limit_percent: int, limit_texts: int) -> DataFrame:
     rows = staged(measured(docs, keep, text, host), "line-measures")
-    texts = staged(rows.groupBy("host", "key").agg(F.any_value("lines").alias("lines")), "line-texts")
+    n, lines = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("lines")), F.lit(0))).first()
+    texts = rows.groupBy("host", "key").agg(F.any_value("lines").alias("lines"))
+    texts = staged(sized(texts, 1, 60 * n + 12 * lines), "line-texts")
     removed = _removed(texts, frequent_lines(texts, limit_percent, limit_texts))
     joined = rows.drop("lines").join(removed, ["host", "key"], "left").withColumn("removed", F.coalesce("removed", F.lit(0)))
     left = F.col("n_words") - F.col("removed")
@@ -140,4 +143,4 @@ def clean_documents(docs: DataFrame, text: str = "text", host: str = "source", n
     changed = {text: F.col("body")}
     if n_chars is not None and n_chars in docs.columns:
         changed[n_chars] = F.when(F.col("drop").isNull(), F.col("row").getField(n_chars)).otherwise(F.length("body"))
-    return unpacked(rows, **changed)
+    return sized(unpacked(rows, **changed), docs.count(), DOCUMENT_BYTES)

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfweek.llm.common import packed, staged, unpacked
+from shelfweek.llm.common import packed, sized, staged, unpacked
 from shelfweek.llm.graph import components
 
 BANDS, ROWS = 40, 5
@@ -38,6 +38,7 @@ SHINGLE = 2
 PERCENT = 80
 # Ratings vary by about 0.03 at the limit; candidates rated lower than this are five deviations below it.
 RATED = 0.65
+DOCUMENT_BYTES = 4_000  # of one document, as a rough size for the number of files
 SMALL = 16  # members of a bucket that is compared in full
 BLOCK_SHINGLES = 400_000  # shingles of one side of a block
 
@@ -272,25 +273,31 @@ def _open_members(large: DataFrame, parts: DataFrame) -> DataFrame:
 
 def node_components(rows: DataFrame, docs: DataFrame, id_column: str, text: str, width: int) -> DataFrame:
     """(node, component) of the distinct sets that are linked."""
-    nodes = staged(rows.where("node is not null").groupBy("node").agg(
-        F.min("id").alias("root"), F.any_value("n").alias("n"), F.any_value("registers").alias("registers")), "nodes")
+    n, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    nodes = rows.where("node is not null").groupBy("node").agg(
+        F.min("id").alias("root"), F.any_value("n").alias("n"), F.any_value("registers").alias("registers"))
+    nodes = staged(sized(nodes, n, 2 * REGISTERS + 24), "nodes")
     bands = banded(nodes)
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("first"), F.max("node").alias("last"))
-    buckets = staged(bands.join(shared.where("members > 1"), "key"), "buckets")
+    buckets = staged(sized(bands.join(shared.where("members > 1"), "key"), n * BANDS, 40), "buckets")
     large = buckets.where(f"members > {SMALL}")
-    pairs = staged(_rated(_candidates(buckets.where(f"members <= {SMALL}"), large), nodes), "pairs")
+    # A member of a small bucket meets at most SMALL / 2 others on average, one of a large bucket two.
+    pairs = staged(sized(_rated(_candidates(buckets.where(f"members <= {SMALL}"), large), nodes), n * BANDS * SMALL // 2, 16), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(large.select("node")).distinct()
     roots = nodes.join(wanted, "node", "left_semi").select(F.coalesce(F.col("root").cast("string"), F.lit("")).alias("root"))
     holders = docs.join(roots.distinct(), F.coalesce(F.col(id_column).cast("string"), F.lit("")) == F.col("root"), "left_semi")
     sets = sketched(holders, id_column, text, width, keep_sets=True).join(wanted, "node", "left_semi")
-    sets = staged(sets.groupBy("node").agg(F.any_value("set").alias("set")), "sets")
-    links = staged(_confirmed(pairs, sets), "confirmed")
-    parts = staged(components(links), "parts")
+    sets = staged(sized(sets.groupBy("node").agg(F.any_value("set").alias("set")), total, 8), "sets")
+    # A pair brings two sets with it.
+    links = staged(sized(_confirmed(pairs, sets), pairs.count(), 16 * (1 + total // max(n, 1))), "confirmed")
+    count = links.count()
+    parts = staged(sized(components(links), 2 * count, 16), "parts")
     meeting = _open_members(large, parts).join(sets, "node").select("key", "i", "j", "node", "component", "home", "set")
     more = staged(meeting.groupBy("key", "i", "j").applyInPandas(_block_links, "u long, v long"), "block-links")
-    if more.isEmpty():
+    added = more.count()
+    if not added:
         return parts
-    return staged(components(links.unionByName(more)), "parts")
+    return staged(sized(components(links.unionByName(more)), 2 * (count + added), 16), "parts")
 
 
 def _assigned(docs: DataFrame, id_column: str, text: str, width: int) -> DataFrame:
@@ -312,11 +319,13 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = SHINGLE) -> DataFrame:
     """The documents with one of each group of near duplicates: the one of the least id; documents without words all stay."""
-    rows = staged(_assigned(docs, id_column, text, width), "assigned")
+    rows = _assigned(docs, id_column, text, width)
+    n = docs.count()
+    rows = staged(sized(rows, n, 120), "assigned")
     best = rows.where("part is not null").groupBy("part").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("best"))
     stay = best.select(F.col("best.key").alias("key"), F.lit(True).alias("single"))
     stay = stay.unionByName(rows.where("part is null").select("key", F.lit(False).alias("single")).distinct())
     found = packed(docs, key=document_key(id_column, text)).join(stay, "key")
     # Repeated rows share a key; of a group with words only one row stays.
     single = found.where("single").groupBy("key").agg(F.any_value("row").alias("row")).select("row")
-    return unpacked(single.unionByName(found.where("not single").select("row")))
+    return unpacked(sized(single.unionByName(found.where("not single").select("row")), n, DOCUMENT_BYTES))
