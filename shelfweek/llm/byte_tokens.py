@@ -15,6 +15,7 @@ repeated rows give repeated results; an empty table gives an empty result; null
 from __future__ import annotations
 
 import base64
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,8 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-REMEMBERED = 400_000  # pieces, and token pairs, that a worker remembers before it starts afresh
+REMEMBERED = 150_000  # pieces, and token pairs, that a worker remembers before it starts afresh
 LONG_PIECE = 40
+TEXTS = 64  # texts whose new pieces are scanned together
 NO_LIMIT = 1 << 31
 
 
@@ -39,7 +41,7 @@ class ByteBPE:
         self.longest = max(map(len, ranks), default=1)
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._fits: dict[int, bool] = {}
-        self._pieces = _Pieces(self)
+        self._pieces: dict[str, bytes] = {}  # ids of pieces seen so far, packed
         self._flat: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
         self.usable = {token: rank for token, rank in ranks.items() if len(token) == 1 or self.halves(rank) is not None}
 
@@ -91,21 +93,35 @@ class ByteBPE:
     # --- prefix tables --------------------------------------------------------------------------
 
     def extend(self, piece: bytes, last: list[int], upto: int | None = None) -> list[int]:
-        """Continue the table ``last`` (one token per prefix already scanned) to all prefixes of ``piece``."""
+        """Continue the table ``last`` (one token per prefix already scanned) to all prefixes of ``piece``.
+
+        Only one token can be the last of a prefix, so the order of trying is free: mostly it is the token before with
+        one byte more, else a shorter one that starts behind it.
+        """
         tokens, known, longest = self.usable.get, self._fits.get, self.longest
+        begin = len(last) - len(self.bytes[last[-1]]) if last else 0
         for end in range(len(last) + 1, (len(piece) if upto is None else upto) + 1):
-            for start in range(0 if end <= longest else end - longest, end):
+            token = tokens(piece[begin:end])
+            if token is not None:
+                if begin == 0:
+                    last.append(token)
+                    continue
+                good = known(last[begin - 1] << 32 | token)
+                if good or good is None and self.fits(last[begin - 1], token):
+                    last.append(token)
+                    continue
+            for start in (*range(begin + 1, end), *range(begin - 1, max(-1, end - longest - 1), -1)):
                 token = tokens(piece[start:end])
                 if token is None:
                     continue
                 if start == 0:
                     break
-                left = last[start - 1]
-                good = known(left << 32 | token)
-                if good or good is None and self.fits(left, token):
+                good = known(last[start - 1] << 32 | token)
+                if good or good is None and self.fits(last[start - 1], token):
                     break
             else:
                 raise ValueError("the vocabulary lacks a byte")
+            begin = start
             last.append(token)
         return last
 
@@ -140,10 +156,36 @@ class ByteBPE:
         whole = self.ranks.get(data)
         return [whole] if whole is not None else self.tokens(self.extend(data, []))  # the same ids as all merges give
 
-    def encode(self, text: str) -> np.ndarray:
+    def learn(self, pieces: list[str]) -> None:
+        """Remember the ids of pieces. In sorted order neighbours share the table of their common prefix."""
+        last, before = [], b""
+        for piece in sorted(pieces):
+            data = piece.encode("utf-8", "surrogatepass")
+            whole = self.ranks.get(data)
+            if whole is None:
+                same = min(len(data), len(before))
+                while data[:same] != before[:same]:
+                    same -= 1
+                del last[same:]
+                ids, before = self.tokens(self.extend(data, last)), data
+                self._pieces[piece] = struct.pack(f"{len(ids)}i", *ids)
+            else:
+                self._pieces[piece] = struct.pack("i", whole)
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         if len(self._pieces) > REMEMBERED:
             self._pieces.clear()
-        return np.frombuffer(b"".join(map(self._pieces.__getitem__, self.pattern.findall(text))), dtype=np.int32)
+        split = [self.pattern.findall(text) for text in texts]
+        new = set().union(*split).difference(self._pieces)
+        self.learn(list(new))
+        out = [np.frombuffer(b"".join(map(self._pieces.__getitem__, pieces)), dtype=np.int32) for pieces in split]
+        for piece in new:
+            if len(piece) > LONG_PIECE:
+                del self._pieces[piece]
+        return out
+
+    def encode(self, text: str) -> np.ndarray:
+        return self.encode_all([text])[0]
 
     def decode(self, ids: np.ndarray) -> bytes:
         if self._flat is None:
@@ -165,20 +207,6 @@ class ByteBPE:
         return np.concatenate([ids[:len(ids) - len(self.encode(tail))], self.encode(tail + more)])
 
 
-class _Pieces(dict):
-    """The ids of pieces seen so far, packed as bytes; a long piece is encoded but not kept."""
-
-    def __init__(self, bpe: ByteBPE):
-        super().__init__()
-        self.bpe = bpe
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.asarray(self.bpe.piece(piece), dtype=np.int32).tobytes()
-        if len(piece) <= LONG_PIECE:
-            self[piece] = ids
-        return ids
-
-
 _LOADED: dict[tuple[str, str], ByteBPE] = {}
 
 
@@ -189,18 +217,34 @@ def vocabulary(path: str, pattern: str) -> ByteBPE:
     return _LOADED[path, pattern]
 
 
-def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The kept columns of ``docs`` (all of them by default) as ``row``, with the ids of the text as ``ids``."""
+def _encoded(bpe: ByteBPE, texts: pa.Array) -> pa.ListArray:
+    lists = []
+    for first in range(0, len(texts), TEXTS):
+        lists += bpe.encode_all([text or "" for text in texts.slice(first, TEXTS).to_pylist()])
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists) if lists else np.empty(0, np.int32)))
+
+
+def _decoded(bpe: ByteBPE, lists: pa.ListArray) -> pa.BinaryArray:
+    return pa.array([bpe.decode(ids.values.to_numpy()) if ids.is_valid else b"" for ids in lists], pa.binary())
+
+
+def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: list[str] | None = None, decode: bool = False) -> DataFrame:
+    """The kept columns of ``docs`` (all of them by default) as ``row``, with the ids of the text as ``ids``.
+
+    With ``decode`` the same worker decodes the ids again, so that one vocabulary does for both: ``decoded`` has the bytes.
+    """
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row"), F.col(text).alias("body"))
     schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
+    if decode:
+        schema = schema.add("decoded", T.BinaryType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path, pattern)
         for batch in batches:
-            lists = [bpe.encode(t or "") for t in batch.column("body").to_pylist()]
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists) if lists else np.empty(0, np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), ids], names=["row", "ids"])
+            ids = _encoded(bpe, batch.column("body"))
+            more = [_decoded(bpe, ids)] if decode else []
+            yield pa.RecordBatch.from_arrays([batch.column("row"), ids, *more], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -212,15 +256,19 @@ def decoded(frame: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path, pattern)
         for batch in batches:
-            texts = [bpe.decode(ids.values.to_numpy()) if ids.is_valid else b"" for ids in batch.column("ids")]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, _decoded(bpe, batch.column("ids"))], names=[*batch.schema.names, "decoded"])
 
     return frame.mapInArrow(run, schema)
 
 
+def token_rows(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The kept columns as ``row``, the ids, their number and digest, and the digest of the bytes they decode to."""
+    out = encoded(docs, path, pattern, text, keep, decode=True)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return out.select("row", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def token_report(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Number of tokens, digest of the ids and digest of the bytes they decode to, for every document."""
-    out = decoded(encoded(docs, path, pattern, text, [id_column]), path, pattern)
-    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return out.select(F.col("row").getField(id_column).alias(id_column), F.size("ids").cast("long").alias("n_tokens"),
-                      F.sha2(listed, 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+    out = token_rows(docs, path, pattern, text, [id_column])
+    return out.select(F.col("row").getField(id_column).alias(id_column), "n_tokens", "ids_sha256", "decoded_sha256")
