@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import functions as F
 
 from shelfweek.llm import byte_tokens, curriculum, line_frequency, secret_scan, setsketch
 from shelfweek.llm.common import staged, table
@@ -34,12 +33,9 @@ def source_mix(spark, docs, sf_dir):
 
 def token_ids(spark, docs, sf_dir):
     """Ids of every copy, with digests of the ids and of what they decode to."""
-    path = public_tokenizers.path(VOCABULARY)
     keep = [c for c in ("doc_id", "lang", "source") if c in docs.columns]
-    out = byte_tokens.decoded(byte_tokens.encoded(docs, path, public_tokenizers.PATTERN, keep=keep), path, public_tokenizers.PATTERN)
-    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return out.select("row.*", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
-                      F.sha2("decoded", 256).alias("decoded_sha256"))
+    out = byte_tokens.token_rows(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, keep=keep)
+    return out.select("row.*", "ids", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup), ("secret_scans", secret_scans), ("source_mix", source_mix), ("token_ids", token_ids)]
