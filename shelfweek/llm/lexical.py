@@ -243,8 +243,8 @@ def ranked(index: DataFrame, items: DataFrame, id_column: str = "item_id", text:
         wanted = sorted({t for _, counted in batch for t in counted})
         if not wanted or not n:
             continue
-        # Bounded by BATCH_TERMS; Spark decides how the join is made.
-        words = spark.createDataFrame([(t,) for t in wanted], "term string")
+        # At most BATCH_TERMS terms: a few megabytes, so the index is filtered where it lies.
+        words = F.broadcast(spark.createDataFrame([(t,) for t in wanted], "term string"))
         postings = staged(index.where("term is not null").join(words, "term", "left_semi").unionByName(heads), "postings")
         frequency = {r["term"]: r["df"] for r in postings.where("term is not null").groupBy("term").agg(F.sum(F.size("docs")).alias("df")).collect()}
         queries = [Query(number, {t: c * weight(n, frequency[t]) for t, c in counted.items() if t in frequency}) for number, (_, counted) in enumerate(batch)]
