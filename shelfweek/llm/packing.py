@@ -37,7 +37,7 @@ from shelfweek.llm.common import staged
 
 CAPACITY = 2048
 END = 0
-BLOCK_ROWS = 200_000  # pieces that are numbered together, on average
+BLOCK_ROWS = 5_000  # pieces of one length that are numbered together, on average
 REMEMBERED = 400_000  # words that a worker remembers before it starts afresh
 TEXTS = 32  # texts whose new words are encoded together
 LONG_WORD = 60
@@ -295,10 +295,10 @@ class Plan:
 
 # --- placing ----------------------------------------------------------------------------------------
 
-def _ranked(rows: DataFrame, n: int) -> DataFrame:
-    """``rows`` with ``place``, the number within the length from 0. A length is counted in blocks dealt by hash."""
-    blocks = max(1, n // BLOCK_ROWS)
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "piece", "crc"), F.lit(blocks)).cast("int"))
+def _ranked(rows: DataFrame, counts: dict[int, int], capacity: int = CAPACITY) -> DataFrame:
+    """``rows`` with ``place``, the number within the length from 0. A frequent length is counted in blocks dealt by hash."""
+    blocks = F.get(F.lit([-(-counts.get(length, 0) // BLOCK_ROWS) or 1 for length in range(capacity + 1)]), F.col("length"))
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "piece", "crc"), blocks).cast("int"))
     before = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = dealt.groupBy("length", "block").count().select("length", "block", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
     inside = Window.partitionBy("length", "block").orderBy("id", "piece", "crc")
@@ -310,7 +310,7 @@ def placed(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``rows`` (id, piece, length, crc, ...) with sequence_id and offset. The counts of lengths are at most ``capacity`` rows."""
     counts = {r["length"]: r["count"] for r in rows.groupBy("length").count().collect()}
     keys, bins, offsets = Plan(counts, capacity).arrays()
-    ranked = _ranked(rows, sum(counts.values()))
+    ranked = _ranked(rows, counts, capacity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -322,7 +322,7 @@ def test_packing_holds_every_piece_once(spark, odd):
 def test_places_within_a_length_are_counted_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(packing, "BLOCK_ROWS", 50)
     rows = spark.createDataFrame([(i, 0, 0, 5 if i % 3 else 4, i) for i in range(600)], "id long, piece int, start long, length int, crc long")
-    got = packing._ranked(rows, 600).collect()
+    got = packing._ranked(rows, {4: 200, 5: 400}).collect()
     for length in (4, 5):
         places = sorted(r["place"] for r in got if r["length"] == length)
         assert places == list(range(len(places)))
