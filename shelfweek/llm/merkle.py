@@ -112,25 +112,25 @@ def proof(witness: Column) -> Column:
 # --- trees ------------------------------------------------------------------------------------------
 
 def numbered(rows: DataFrame, *order: str) -> DataFrame:
-    """``rows`` with ``at``, the place within ``tree`` from 0 in the given order.
+    """``rows`` with ``at``, the place within ``tree`` from 0 in the given order, and ``n``, the leaves of the tree.
 
     The rows are range-partitioned once; the counts of (tree, partition) give every partition its first place, and places
     inside are counted there. A large tree lies in many partitions.
     """
     dealt = staged(rows.repartitionByRange("tree", *order).withColumn("part", F.spark_partition_id()), "merkle-ranges")
     before = Window.partitionBy("tree").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
-    starts = dealt.groupBy("tree", "part").count().select("tree", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
+    starts = dealt.groupBy("tree", "part").count().select(
+        "tree", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"), F.sum("count").over(Window.partitionBy("tree")).alias("n"))
     inside = Window.partitionBy("tree", "part").orderBy(*order)
     placed = dealt.withColumn("in_part", F.row_number().over(inside)).join(starts, ["tree", "part"])
     return placed.withColumn("at", F.col("start") + F.col("in_part") - 1).drop("part", "start", "in_part")
 
 
-def _blocks(nodes: DataFrame, sizes: DataFrame) -> DataFrame:
+def _blocks(nodes: DataFrame) -> DataFrame:
     """``nodes`` with their block and the number of levels that it builds."""
     # n - 1 has as many hexadecimal digits as a tree of n leaves has levels.
     levels = F.when(F.col("n") > 1, F.length(F.hex(F.col("n") - 1))).otherwise(0)
-    out = nodes.join(sizes, "tree").withColumn("levels", F.least(F.lit(BLOCK_LEVELS), levels).cast("int")).drop("n")
-    return out.withColumn("block", F.shiftright("at", 4 * BLOCK_LEVELS))
+    return nodes.withColumns({"levels": F.least(F.lit(BLOCK_LEVELS), levels).cast("int"), "block": F.shiftright("at", 4 * BLOCK_LEVELS)})
 
 
 def _segments(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
@@ -144,14 +144,17 @@ def _segments(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
 
 
 def _block_roots(blocked: DataFrame) -> DataFrame:
-    """(tree, at, digest): the root of each block, numbered by block."""
+    """(tree, at, digest, n): the root of each block, numbered by block, and how many blocks its tree has."""
+    names = ["tree", "at", "n", "digest"]
+    size = ARITY ** BLOCK_LEVELS
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, tree = None, None
-        done: list[tuple[str, int, str]] = []
+        done: list[tuple[str, int, int, str]] = []
         for batch in batches:
             digests, levels = batch.column("digest").to_pylist(), batch.column("levels").to_pylist()
             for a, b in _segments(batch):
-                this = batch.column("tree")[a].as_py(), batch.column("block")[a].as_py()
+                this = batch.column("tree")[a].as_py(), batch.column("block")[a].as_py(), -(-batch.column("n")[a].as_py() // size)
                 if this != key:
                     if tree is not None:
                         done.append((*key, tree.close()))
@@ -159,14 +162,14 @@ def _block_roots(blocked: DataFrame) -> DataFrame:
                 for digest in digests[a:b]:
                     tree.append(digest)
             if len(done) >= 1000:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done)], names=["tree", "at", "digest"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done)], names=names)
                 done = []
         if tree is not None:
             done.append((*key, tree.close()))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done)], names=["tree", "at", "digest"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done)], names=names)
 
-    dealt = blocked.select("tree", "block", "at", "levels", "digest").repartition("tree", "block").sortWithinPartitions("tree", "block", "at")
-    return dealt.mapInArrow(run, "tree string, at long, digest string")
+    dealt = blocked.select("tree", "block", "at", "n", "levels", "digest").repartition("tree", "block").sortWithinPartitions("tree", "block", "at")
+    return dealt.mapInArrow(run, "tree string, at long, n long, digest string")
 
 
 def _completed(blocked: DataFrame, above: DataFrame) -> DataFrame:
@@ -222,13 +225,12 @@ def _completed(blocked: DataFrame, above: DataFrame) -> DataFrame:
 
 
 def witnessed(nodes: DataFrame, finish: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``nodes`` (tree, at, digest, row) with the witness of each up to the top.
+    """``nodes`` (tree, at, n, digest, row) with the witness of each up to the top.
 
-    ``finish`` gets the roots of the trees (tree, at, digest) and returns (tree, at, witness, subroot, root) for them: what
+    ``finish`` gets the roots of the trees (tree, at, n, digest) and returns (tree, at, witness, subroot, root) for them: what
     their own witnesses are in the tree above. Blocks shrink the nodes 4,096 times a round, so there are few rounds.
     """
-    sizes = nodes.groupBy("tree").agg(F.count(F.lit(1)).alias("n"))
-    blocked = _blocks(nodes, sizes)
+    blocked = _blocks(nodes)
     roots = staged(_block_roots(blocked), "merkle-roots")
     if roots.where("at > 0").isEmpty():
         above = finish(roots)
