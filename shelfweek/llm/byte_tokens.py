@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-REMEMBERED = 150_000  # pieces, and token pairs, that a worker remembers before it starts afresh
+REMEMBERED = 300_000  # pieces, and token pairs, that a worker remembers before it starts afresh
 LONG_PIECE = 40
-TEXTS = 64  # texts whose new pieces are scanned together
+TEXTS, CHARACTERS = 512, 4_000_000  # texts, and their characters, whose new pieces are scanned together
 NO_LIMIT = 1 << 31
 
 
@@ -218,9 +218,14 @@ def vocabulary(path: str, pattern: str) -> ByteBPE:
 
 
 def _encoded(bpe: ByteBPE, texts: pa.Array) -> pa.ListArray:
-    lists = []
-    for first in range(0, len(texts), TEXTS):
-        lists += bpe.encode_all([text or "" for text in texts.slice(first, TEXTS).to_pylist()])
+    lists, chunk, size = [], [], 0
+    for value in texts:
+        chunk.append(value.as_py() or "")
+        size += len(chunk[-1])
+        if len(chunk) >= TEXTS or size >= CHARACTERS:
+            lists += bpe.encode_all(chunk)
+            chunk, size = [], 0
+    lists += bpe.encode_all(chunk)
     ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists) if lists else np.empty(0, np.int32)))
 
