@@ -37,8 +37,8 @@ from shelfweek.llm.common import staged
 
 CAPACITY = 2048
 END = 0
-BLOCK_ROWS = 5_000  # pieces of one length that are numbered together, on average
-REMEMBERED = 400_000  # words that a worker remembers before it starts afresh
+BLOCK_ROWS = 1_000  # pieces of one length that are numbered together, on average
+REMEMBERED = 800_000  # words that a worker remembers before it starts afresh
 TEXTS = 32  # texts whose new words are encoded together
 LONG_WORD = 60
 # Words of Latin letters, with punctuation behind them but for apostrophes.
