@@ -220,14 +220,14 @@ def weight(n: int, df: int) -> int:
     return math.floor(1000 * math.log((2 * n + 2) / (2 * df + 1)))
 
 
-def _best(block: BlockSearch, queries: list[Query], floors: dict[int, list[int]]) -> Iterator[tuple[int, int, int]]:
+def _best(block: BlockSearch, queries: list[Query], floors: dict[int, list[int]], top: int) -> Iterator[tuple[int, int, int]]:
     for query in queries:
         seen = floors.setdefault(query.number, [])
-        found, scores = block.search(query, seen[0] if len(seen) >= TOP else 1)
+        found, scores = block.search(query, seen[0] if len(seen) >= top else 1, top)
         # Equal scores beyond the last place are settled by the id, within the block and later among blocks.
         ids = block.ids[found]
-        order = np.lexsort((ids, pd.isna(ids), -scores) if ids.dtype != object else (np.array([i or 0 for i in ids]), [i is None for i in ids], -scores))[:TOP]
-        floors[query.number] = sorted(sorted(seen + scores[order].tolist(), reverse=True)[:TOP])
+        order = np.lexsort((ids, pd.isna(ids), -scores) if ids.dtype != object else (np.array([i or 0 for i in ids]), [i is None for i in ids], -scores))[:top]
+        floors[query.number] = sorted(sorted(seen + scores[order].tolist(), reverse=True)[:top])
         for k in order.tolist():
             yield query.number, ids[k], int(scores[k])
 
@@ -249,7 +249,7 @@ def ranked(index: DataFrame, items: DataFrame, id_column: str = "item_id", text:
         frequency = {r["term"]: r["df"] for r in postings.where("term is not null").groupBy("term").agg(F.sum(F.size("docs")).alias("df")).collect()}
         queries = [Query(number, {t: c * weight(n, frequency[t]) for t, c in counted.items() if t in frequency}) for number, (_, counted) in enumerate(batch)]
         names = spark.createDataFrame([(number, item) for number, (item, _) in enumerate(batch)], f"query int, {id_column} {item_type}")
-        found = _searched(postings, [q for q in queries if q.terms], n, total)
+        found = _searched(postings, [q for q in queries if q.terms], n, total, top)
         best = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("id").asc_nulls_last())
         placed = staged(found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top), "ranked")
         results.append(placed.join(names, "query").select(id_column, "rank", F.col("id").alias(doc_column), "score"))
@@ -277,7 +277,7 @@ def _batches(items: DataFrame) -> Iterator[list[tuple[object, dict[str, int]]]]:
         yield batch
 
 
-def _searched(postings: DataFrame, queries: list[Query], n: int, total: int) -> DataFrame:
+def _searched(postings: DataFrame, queries: list[Query], n: int, total: int, top: int) -> DataFrame:
     """(query, id, score): the best of every block. Blocks of a task follow each other, and the scores found raise the floor."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         floors: dict[int, list[int]] = {}
@@ -288,19 +288,19 @@ def _searched(postings: DataFrame, queries: list[Query], n: int, total: int) ->
             for i in range(1, len(names) + 1):
                 if i == len(names) or names[i] != names[start]:
                     if names[start] != name and parts:
-                        yield _answers(parts, queries, n, total, floors)
+                        yield _answers(parts, queries, n, total, floors, top)
                         parts = []
                     name = names[start]
                     parts.append(batch.slice(start, i - start))
                     start = i
         if parts:
-            yield _answers(parts, queries, n, total, floors)
+            yield _answers(parts, queries, n, total, floors, top)
 
     dealt = postings.repartition("block").sortWithinPartitions("block", "term")
     return dealt.mapInArrow(run, "query int, id long, score long")
 
 
-def _answers(parts: list[pa.RecordBatch], queries: list[Query], n: int, total: int, floors: dict[int, list[int]]) -> pa.RecordBatch:
+def _answers(parts: list[pa.RecordBatch], queries: list[Query], n: int, total: int, floors: dict[int, list[int]], top: int) -> pa.RecordBatch:
     rows = pa.Table.from_batches(parts)
     head = rows.filter(pc.is_null(rows["term"]))
     held = rows.filter(pc.is_valid(rows["term"]))
@@ -312,12 +312,13 @@ def _answers(parts: list[pa.RecordBatch], queries: list[Query], n: int, total: i
 
     block = BlockSearch.of(ids, head["sizes"][0].values.to_numpy(), held["term"].to_pylist(), lists("docs"), lists("counts"), n, total)
     block.prepare(queries)
-    found = list(_best(block, queries, floors))
+    found = list(_best(block, queries, floors, top))
     query, id_, score = zip(*found) if found else ((), (), ())
     return pa.RecordBatch.from_arrays([pa.array(query, pa.int32()), pa.array([None if i is None else int(i) for i in id_], pa.int64()), pa.array(score, pa.int64())],
                                       names=["query", "id", "score"])
 
 
-def top_documents(docs: DataFrame, items: DataFrame, doc_column: str = "doc_id", text: str = "text", item_column: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The best documents of each item, out of all documents."""
-    return ranked(staged(indexed(docs, doc_column, text), "index"), items, item_column, item_text, doc_column)
+def top_documents(docs: DataFrame, items: DataFrame, doc_column: str = "doc_id", text: str = "text", item_column: str = "item_id", item_text: str = "text",
+                  top: int = TOP) -> DataFrame:
+    """The best ``top`` documents of each item, out of all documents."""
+    return ranked(staged(indexed(docs, doc_column, text), "index"), items, item_column, item_text, doc_column, top)

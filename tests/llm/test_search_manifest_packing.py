@@ -64,8 +64,10 @@ def test_search_equals_full_scoring(spark):
     docs = [(i, " ".join(f"t{int(rng.paretovariate(0.7)) % 90}" for _ in range(rng.randrange(1, 60)))) for i in range(400)]
     docs += [(1000 + i, docs[i % 5][1]) for i in range(60)] + [(2000, None), (2001, ""), (2002, "--- !!"), (2003, "É é T1 t1")]
     items = [(i, " ".join(f"T{int(rng.paretovariate(0.5)) % 90}" for _ in range(rng.randrange(1, 25)))) for i in range(25)] + [(25, None), (26, "zzz"), (3, "t1 t1 é"), (3, "t1 t1 é")]
-    got = lexical.top_documents(documents(spark, [(i, t, "a") for i, t in docs]).repartition(7), spark.createDataFrame(items, "item_id int, text string"))
-    assert sorted(map(tuple, got.collect()), key=str) == plain_search(docs, items)
+    frames = documents(spark, [(i, t, "a") for i, t in docs]).repartition(7), spark.createDataFrame(items, "item_id int, text string")
+    for top in (20, 3, 60):
+        got = lexical.top_documents(*frames, top=top)
+        assert sorted(map(tuple, got.collect()), key=str) == plain_search(docs, items, top)
 
 
 def test_search_on_odd_and_empty_tables(spark, odd):
