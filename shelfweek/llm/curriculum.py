@@ -129,10 +129,18 @@ def taken(docs: DataFrame, id_column: str = "doc_id", size: Column | None = None
     return placed.withColumn("position", F.when(F.col("taken") > 0, _position(share, F.col("segments"))))
 
 
+def range_sorted(df: DataFrame, *order: Column) -> DataFrame:
+    """The rows in order over all partitions, each of which holds one range."""
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def mix_report(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """One row per document: its size, its source's size and target, the words taken of it and its first position."""
+    """One row per document in training order: its size, its source's size and target, the words taken of it and its first position.
+
+    Documents of which nothing is taken come last.
+    """
     sized = staged(docs.select(F.col(id_column), F.col(source), word_count(F.col(text)).alias("mix_size")), "mix-sizes")
-    out = taken(sized, id_column, F.col("mix_size"), source)
+    out = range_sorted(taken(sized, id_column, F.col("mix_size"), source), F.col("position").asc_nulls_last(), F.col("id"), F.col("size"))
     return out.select(F.col("row").getField(id_column).alias(id_column), "size", "source_size", "target", "taken", "position")
 
 
@@ -145,8 +153,7 @@ def mixed(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source
     each = plan.select("*", F.explode(F.filter(copies, lambda c: c["words"] > 0)).alias("c"))
     begin = F.col("c.copy") * F.col("source_size") + F.col("start")
     each = each.withColumn("position", _position(F.least(F.lit(1.0), begin / F.col("target")), F.col("segments")))
-    order = [F.col("position"), F.col("id"), F.col("c.copy")]
-    each = each.repartitionByRange(*order).sortWithinPartitions(*order)
+    each = range_sorted(each, F.col("position"), F.col("id"), F.col("c.copy"))
     partial = F.col("c.words") < F.col("size")
     body = F.col("row").getField(text)
     pieces = F.regexp_extract_all(body, F.lit(f"{SPACE}*{WORD}"), F.lit(0))

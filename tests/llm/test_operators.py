@@ -124,6 +124,15 @@ def test_targets_and_words_taken(spark):
     assert {tuple(r) for r in curriculum.mix_report(docs.repartition(7)).collect()} == {tuple(r) for r in rows.values()}
 
 
+def test_the_report_of_the_mix_is_in_training_order(spark):
+    rng = random.Random(5)
+    data = [(i, prose(rng, rng.randrange(0, 60)), "en", rng.choice(["a"] * 9 + ["b", "c"]), 0) for i in range(300)]
+    rows = curriculum.mix_report(spark.createDataFrame(data, DOCS).repartition(5)).collect()
+    places = [r["position"] for r in rows if r["position"] is not None]
+    assert len(rows) == 300 and places == sorted(places)
+    assert [r["position"] for r in rows[:len(places)]] == places  # documents of which nothing is taken come last
+
+
 # --- near duplicates ------------------------------------------------------------------------------
 
 def components_of(sets, linked):
