@@ -1,8 +1,12 @@
+from datetime import date, timedelta
+
 from shop import AS_OF, DURING, SUNDAY, d, item, shop
 from pyspark.sql import functions as F
 
 from shelfweek.functions.dates import week_bounds
-from shelfweek.plans import chain_report, frontline_items, item_master, new_goods, online_new, refresh, weekly
+from shelfweek.operators import joins
+from shelfweek.plans import base_inventory, chain_report, frontline_items, item_master, new_goods, online_new, refresh, weekly
+from shelfweek.sources.tables import Sources
 
 
 def cell(df, **keys):
@@ -96,3 +100,38 @@ def test_refresh_stops_at_the_first_failure(spark, tmp_path):
 def test_program_labels_ignore_case(spark):
     df = spark.createDataFrame([("USED", "BI"), ("Used", "SIPS"), ("New", "BS"), ("New", "DIPS")], "u string, s string")
     assert [r[0] for r in df.select(chain_report.program(F.col("u"), F.col("s"))).collect()] == ["USED", "USED", "BS", "CDC"]
+
+
+def spans_of(spark, rows):
+    return spark.createDataFrame(rows, "loc_no string, first date, last date")
+
+
+def test_dense_detail_equals_the_plain_grid(spark, rows):
+    week = [date(2024, 1, 7) + timedelta(weeks=i) for i in range(4)]
+    acts = spark.createDataFrame(
+        [(week[0], "a", "1", 5), (week[2], "a", "1", None), (week[3], "a", "1", 9), (week[1], "b", "2", 7), (None, "a", "1", 4), (week[1], None, "1", 3)],
+        "min_dt date, section string, loc_no string, qty bigint")
+    spans = spans_of(spark, [("1", week[0], week[2]), ("2", week[1], week[1]), (None, week[0], week[0])])
+    sections = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "section string")
+    weeks = spans.select("loc_no", F.explode(F.sequence("first", "last", F.expr("interval 7 days"))).alias("min_dt"))
+    keys = ["min_dt", "section", "loc_no"]
+    want = weeks.crossJoin(sections).join(acts, keys, "left").fillna(0, subset=["qty"])
+    got = weekly.location_detail(acts, spans, [sections], keys, ["qty"])
+    assert rows(got, *keys, "qty") == rows(want, *keys, "qty") and got.count() == 20
+
+
+def test_dense_detail_of_more_items_than_a_small_side_may_have(spark):
+    acts = spark.createDataFrame([(SUNDAY.date(), "7", "00001", 2)], "min_dt date, item_code string, loc_no string, qty bigint")
+    items = spark.range(joins.GRID_ROWS + 1).select(F.col("id").cast("string").alias("item_code"))
+    detail = weekly.location_detail(acts, spans_of(spark, [("00001", SUNDAY.date(), SUNDAY.date())]), [items], ["min_dt", "item_code", "loc_no"], ["qty"])
+    assert detail.agg(F.count("*"), F.sum("qty")).first()[:] == (joins.GRID_ROWS + 1, 2)
+
+
+def test_buys_of_a_type_with_many_items_are_spread_over_tasks(spark):
+    src = Sources(buys=spark.createDataFrame(
+        [("00001", "HBF ", "A", 2, d(4), d(9), DURING), ("00001", "HBF", "A", 3, d(5), d(9), DURING), ("00001", "X", "V", 1, d(1), d(1), DURING)],
+        "location_no string, buy_type string, status string, quantity int, line_offer decimal(19,4), total_offer decimal(19,4), end_date timestamp"))
+    items = spark.range(400).select(F.col("id").cast("string").alias("item_code"), F.lit("HBF").alias("product_type"), F.lit(True).alias("takes_buys"))
+    bought = base_inventory.weekly_buys(src, items, *week_bounds(AS_OF))
+    assert bought.agg(F.count("*"), F.min("buy_qty"), F.max("buy_cost")).first()[:] == (400, 5, d(9))
+    assert bought.select(F.spark_partition_id()).distinct().count() > 1
