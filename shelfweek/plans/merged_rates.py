@@ -13,7 +13,7 @@ from shelfweek.functions.measures import RATE, rate, total_if, zero
 from shelfweek.functions.text import pad_code
 from shelfweek.operators.joins import absent, key_union, present
 from shelfweek.plans.online_new import sections_of
-from shelfweek.sources.layout import pair_keys
+from shelfweek.sources.layout import by_details, pair_keys
 from shelfweek.sources.tables import Sources, staged
 
 DAYS = "decimal(19,5)"
@@ -51,7 +51,7 @@ def _monthly(quantity: Column, months: int) -> Column:
 def wholesale_lines(*tiers: tuple[DataFrame, DataFrame]) -> DataFrame:
     """Shipped wholesale lines of live and archive header/detail pairs, or of one pair that holds all tiers."""
     stacked = None
-    for headers, details in tiers:
+    for headers, details in by_details(tiers):
         keys = pair_keys(headers, details, "internal_shipment_num")
         heads = headers.where(F.col("actual_ship_date_time").isNotNull()).select(
             *keys, F.col("actual_ship_date_time").alias("shipped"),
@@ -106,14 +106,15 @@ def wholesale_rates(lines: DataFrame, items: DataFrame, stock: DataFrame, as_of:
 
 
 def ledger_cells(ledger: DataFrame, as_of: date, months: int = 3) -> DataFrame:
-    """The movement ledger per item and store: first and last movement, shipped and sold quantities.
+    """The movement ledger per item and currently served store: first and last movement, shipped and sold quantities.
 
-    Sales are negative in the ledger.
+    Movements that are not current have no ``cr_loc``: which stores they went to is never asked, and an item has far more
+    of those than current ones. Sales are negative in the ledger.
     """
     current = F.col("date") > F.lit(months_before(as_of, months))
     sent, sold = F.col("xacn").isin(*fv.OUTBOUND_LEDGER_KINDS), F.col("xacn").isin(*fv.SALE_LEDGER_KINDS)
-    return ledger.groupBy("item_code", "item", "loc").agg(
-        F.min("date").alias("first"), F.max("date").alias("last"), F.max(current).alias("is_current"),
+    return ledger.groupBy("item_code", "item", F.when(current, F.col("loc")).alias("cr_loc")).agg(
+        F.min("date").alias("first"), F.max("date").alias("last"),
         total_if(sent & current, F.col("qty")).alias("cr_ship_qty"), total_if(sent, F.col("qty")).alias("at_ship_qty"),
         total_if(sold & current, -F.col("qty")).alias("cr_sold_qty"),
         total_if(sold, -F.col("qty")).alias("at_sold_qty"),
@@ -131,12 +132,14 @@ def stale_items(cells: DataFrame, items: DataFrame, cutoff: date) -> DataFrame:
 
 def alltime_retail_rates(base: DataFrame, equivs: DataFrame, items: DataFrame, stale: DataFrame, as_of: date,
                          months: int = 3) -> DataFrame:
-    """Store rates summed per report item; outlying store rates are averaged with the item's overall rate."""
+    """Store rates summed per report item; outlying store rates are averaged with the item's overall rate.
+
+    What is known of an item is brought together first, so that the rows per item and store meet it in one join.
+    """
     since = F.lit(months_before(as_of, months))
-    kept = absent(base, stale, ["rpt_it"]).withColumnRenamed("rpt_it", "item_code")
-    named = kept.join(items.select("item_code", "rpt_it"), "item_code").join(
-        equivs.select("item_code", "avg_ros"), "item_code"
-    )
+    kept = absent(items.select("item_code", "rpt_it"), stale.select(F.col("rpt_it").alias("item_code")), ["item_code"])
+    known = kept.join(equivs.select("item_code", "avg_ros"), "item_code")
+    named = base.withColumnRenamed("rpt_it", "item_code").join(known, "item_code")
     ros, overall = F.col("ros").cast(RATE), F.col("avg_ros").cast(RATE)
     blended = F.when(F.col("z_ros") > OUTLIER_ABOVE, ((overall + ros) / 2).cast(RATE)).otherwise(ros)
     per_store = named.groupBy("rpt_it", "loc").agg(
@@ -161,7 +164,7 @@ def current_retail_rates(cells: DataFrame, items: DataFrame, master: DataFrame,
     named = absent(named, stale, ["rpt_it"])
     per_item = named.groupBy("rpt_it").agg(
         F.max("in_stock").alias("in_stock"), F.min("first").alias("first"), F.max("last").alias("last"),
-        F.count_distinct(F.when(F.col("is_current"), F.col("loc"))).alias("cr_locs"),
+        F.count_distinct("cr_loc").alias("cr_locs"),
         *[F.sum(name).alias(name) for name in ("cr_ship_qty", "at_ship_qty", "cr_sold_qty", "at_sold_qty")],
     )
     return per_item.select(
@@ -239,7 +242,7 @@ def merged_rates(src: Sources, as_of: date, months: int = 3, years: int = 15) ->
     items = src.ledger_items
     stock = staged(available_stock(src.wh_inventory, src.wh_location), "free-stock")
     cells = staged(ledger_cells(src.ledger, as_of, months), "ledger-cells")
-    stale = stale_items(cells, items, months_before(as_of, 12 * years))
+    stale = staged(stale_items(cells, items, months_before(as_of, 12 * years)), "stale-items")
     wholesale = staged(
         wholesale_rates(wholesale_lines(*src.wh_shipment_tiers), items, stock, as_of, months, years), "wholesale-rates"
     )

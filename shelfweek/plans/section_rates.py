@@ -17,7 +17,7 @@ from shelfweek.operators.joins import absent, attach, dense_spine, prior_year
 from shelfweek.operators.windows import deltas, frame_rate, leading_rate, looks_ahead, series, trailing_rate
 from shelfweek.plans.inbound import open_receipt_rows
 from shelfweek.plans.online_new import sections_of
-from shelfweek.sources.layout import between_days, pair_keys
+from shelfweek.sources.layout import between_days, by_details, pair_keys
 from shelfweek.sources.tables import Sources, staged
 
 CHANNELS = {"": "sold_qty", "s": "st_sold_qty", "o": "onl_sold_qty", "w": "wh_sold_qty"}
@@ -75,7 +75,7 @@ def shipped_tiers(tiers, order_types, start: date | None = None, end: date | Non
                   company: str | None = None) -> DataFrame:
     """Shipped lines of live and archive tiers per week, section, order type and item."""
     stacked = None
-    for headers, details in tiers:
+    for headers, details in by_details(tiers):
         keys = pair_keys(headers, details, "internal_shipment_num")
         heads = between_days(headers.where(F.col("actual_ship_date_time").isNotNull()), "actual_ship_date_time", start, end)
         lines = details.where(F.col("order_type").isin(*order_types))

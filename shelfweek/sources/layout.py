@@ -137,6 +137,18 @@ def pair_keys(headers: DataFrame, details: DataFrame, key: str) -> list[str]:
     return [key, *[name for name in (TIER, YEAR) if name in headers.columns and name in details.columns]]
 
 
+def by_details(tiers: Iterable[tuple[DataFrame, DataFrame]]) -> list[tuple[DataFrame, DataFrame]]:
+    """The pairs with the headers of tiers that share one detail table stacked, so that its lines are read and joined once."""
+    stacked: list[tuple[DataFrame, DataFrame]] = []
+    for headers, details in tiers:
+        shared = next((i for i, (_, known) in enumerate(stacked) if known is details), None)
+        if shared is None:
+            stacked.append((headers, details))
+        else:
+            stacked[shared] = (stacked[shared][0].unionByName(headers), details)
+    return stacked
+
+
 def between_days(headers: DataFrame, day: str, start: date | None = None, end: date | None = None) -> DataFrame:
     """Headers from ``start`` to before ``end``; of headers stored by year only the years in question are read."""
     tests = [] if start is None else [F.col(day) >= F.lit(start)]

@@ -1,12 +1,14 @@
 """Rules that only show beyond the size of the test tables: wide numbers, mixed map rows, grid width, staging."""
 
+from datetime import date, datetime
+
 import pytest
 from pyspark.sql import functions as F
 
 from registry.inbound import WHOLE_NUMBERS
 from registry.standins import padded
 from shelfweek.operators import joins
-from shelfweek.plans import inbound
+from shelfweek.plans import inbound, merged_rates, section_rates
 from shelfweek.plans.online_new import sections_of
 from shelfweek.sources.tables import shared_folder
 
@@ -57,3 +59,24 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Session())
+
+
+def test_ledger_cells_hold_stores_of_current_movements_only(spark, rows):
+    moves = [("a", "a", f"{k:05d}", "Sale", -1, datetime(1999, 1, 1 + k)) for k in range(20)]
+    moves += [("a", "a", "00003", "CDC", 5, datetime(2001, 11, 1)), ("a", "a", None, "Sale", -2, datetime(2001, 11, 2)), ("a", "a", "00004", "Sale", -3, None)]
+    ledger = spark.createDataFrame(moves, "item_code string, item string, loc string, xacn string, qty int, date timestamp_ntz")
+    cells = merged_rates.ledger_cells(ledger, date(2001, 11, 11))
+    assert rows(cells, "cr_loc", "cr_ship_qty", "at_ship_qty", "cr_sold_qty", "at_sold_qty") == [("00003", 5, 5, 0, 0), (None, 0, 0, 2, 25)]
+
+
+def test_tiers_over_one_detail_table_join_it_once(spark, rows):
+    details = spark.createDataFrame([(k % 6, f"i{k}", "TTB WHOLESALE", "TTB", "X", k, "s1") for k in range(30)],
+                                    "internal_shipment_num int, item string, order_type string, company string, customer string, total_qty int, item_category1 string")
+    heads = [spark.createDataFrame([(k, "C", datetime(2001 - tier, 3, 1 + k)) for k in (tier, tier + 2, 5)],
+                                   "internal_shipment_num int, customer string, actual_ship_date_time timestamp_ntz") for tier in range(3)]
+    copies = [(h, details.select("*")) for h in heads]
+    for job, names in ((lambda tiers: merged_rates.wholesale_lines(*tiers), ("item", "shipped", "total_qty")),
+                       (lambda tiers: section_rates.shipped_tiers(tiers, ["TTB WHOLESALE"]), ("min_dt", "item", "qty"))):
+        shared = job([(h, details) for h in heads])
+        assert rows(shared, *names) == rows(job(copies), *names)
+        assert shared._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
