@@ -484,13 +484,17 @@ def _wh_po_header(s):
 
 
 def _wh_po_detail(s):
-    dates = s.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-    return s.lineitem.join(dates, "l_orderkey").select(
-        F.concat(F.lit("P"), padded("l_orderkey", 6)).alias("purchase_order_id"),
-        F.col("l_partkey").cast("string").alias("item"), mapped(F.col("l_returnflag"), COMPANIES).alias("company"),
+    """Lines meet their orders on the text number, by which readers join them too."""
+    def number(column: str) -> Column:
+        return F.concat(F.lit("P"), padded(column, 6)).alias("purchase_order_id")
+
+    lines = s.lineitem.select(number("l_orderkey"), "l_partkey", "l_returnflag", "l_linenumber",
+                              F.col("l_quantity").cast("int").alias("total_quantity"), "l_shipdate")
+    return lines.join(s.orders.select(number("o_orderkey"), "o_orderdate"), "purchase_order_id").select(
+        "purchase_order_id", F.col("l_partkey").cast("string").alias("item"),
+        mapped(F.col("l_returnflag"), COMPANIES).alias("company"),
         F.concat(F.lit("Sch"), F.col("l_linenumber").cast("string")).alias("item_category3"),
-        F.col("l_quantity").cast("int").alias("total_quantity"), F.col("l_shipdate").alias("date_time_stamp"),
-        "o_orderdate")
+        "total_quantity", F.col("l_shipdate").alias("date_time_stamp"), "o_orderdate")
 
 
 def _wh_po_tiers(s):

@@ -13,6 +13,8 @@ from shelfweek.functions.dates import hour_boundaries
 SPREAD = 16
 # How many rows the small side of a grid may have.
 GRID_ROWS = 100_000
+# Up to how many times of one key the nearest match sorts candidates into the gaps between them.
+FEW_TIMES = 64
 
 
 def _matches(names: list[str], null_safe: bool) -> Column:
@@ -159,17 +161,27 @@ def nearest_in_time(
     """For each left row the right row of the same key nearest in hour marks, before or after.
 
     Equal distances go to the smallest ``tie`` values. Right rows without a timestamp are no candidates. Left
-    rows without a match get nulls. Both sides are first reduced to one row per key and hour, so a hot key
-    brings at most as many rows to one task as its history has hours, and no pairs are formed.
+    rows without a match get nulls. Of the candidates between two neighbouring left times of a key only the first and
+    the last can be nearest to any, so only these are kept; a key with more than ``FEW_TIMES`` left times keeps one
+    candidate per hour. A hot key brings at most as many rows to one task as its history has hours, and no pairs are formed.
     """
     hour = F.date_trunc
     choice = F.struct(*[F.col(name).alias(f"_tie_{i}") for i, name in enumerate(tie)], F.struct(*columns).alias("row"))
-    candidates = (
-        right.where(F.col(right_time).isNotNull())
-        .groupBy(key, hour("hour", F.col(right_time)).alias("_hour"))
-        .agg(F.min(choice).alias("_choice"))
-    )
     asked = left.where(F.col(left_time).isNotNull()).select(key, hour("hour", F.col(left_time)).alias("_hour")).distinct()
+    times = asked.groupBy(F.col(key).alias(f"_r_{key}")).agg(F.collect_set("_hour").alias("_times")).withColumn(
+        "_times", F.when(F.size("_times") <= FEW_TIMES, F.col("_times"))
+    )
+    gap = F.when(F.col("_times").isNotNull(), F.size(F.filter("_times", lambda time: time < F.col("_hour"))).cast("bigint"))
+    seconds = F.unix_seconds("_hour")
+    named = right.where(F.col(right_time).isNotNull()).select(key, hour("hour", F.col(right_time)).alias("_hour"), choice.alias("_choice"))
+    ends = (
+        named.join(times, _matches([key], True))
+        .groupBy(key, F.coalesce(gap, seconds).alias("_gap"))
+        .agg(F.min(F.struct(seconds, "_hour", "_choice")).alias("_first"), F.min(F.struct(-seconds, "_hour", "_choice")).alias("_last"))
+    )
+    candidates = ends.select(key, F.explode(F.array(*[F.struct(f"{end}._hour", f"{end}._choice") for end in ("_first", "_last")])).alias("_end")).select(
+        key, "_end._hour", "_end._choice"
+    )
     timeline = candidates.select(key, "_hour", F.struct("_hour", "_choice").alias("_seen")).unionByName(
         asked.select(key, "_hour", F.lit(None).cast(_struct_type(candidates)).alias("_seen"))
     )

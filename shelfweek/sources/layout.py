@@ -107,18 +107,18 @@ def write_pairs(tiers: Mapping[str, tuple[DataFrame, DataFrame]], path: str, key
 
     A detail lies with its header. Where a key has headers of several years in a tier, its details lie in each of those
     years, so that joining on key, tier and year is the join on the key. Year 0 holds headers without a day and details
-    without a header.
+    without a header. A task writes a file for each tier and year it holds, so the rows are not shuffled to their folders first.
     """
     stored = {"headers": [], "details": []}
     for name, (headers, details) in tiers.items():
         dated = headers.withColumns({TIER: F.lit(name), YEAR: F.coalesce(F.year(day), F.lit(0))})
-        years = dated.select(key, YEAR).distinct()
+        years = dated.groupBy(key).agg(F.collect_set(YEAR).alias(YEAR)).select(key, F.explode(YEAR).alias(YEAR))
         placed = details.join(years, key, "left").withColumns({TIER: F.lit(name), YEAR: F.coalesce(YEAR, F.lit(0))})
         stored["headers"].append(dated)
         stored["details"].append(placed.select(*details.columns, TIER, YEAR))
     for kind, frames in stored.items():
         stacked = reduce(lambda a, b: a.unionByName(b), frames)
-        stacked.hint("rebalance", TIER, YEAR).write.mode("overwrite").partitionBy(TIER, YEAR).parquet(f"{path}/{kind}")
+        stacked.write.mode("overwrite").option("compression", "zstd").partitionBy(TIER, YEAR).parquet(f"{path}/{kind}")
 
 
 def read_pairs(spark: SparkSession, path: str, tiers: Iterable[str] | None = None) -> tuple[DataFrame, DataFrame]:

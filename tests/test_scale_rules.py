@@ -10,6 +10,7 @@ from registry.standins import padded
 from shelfweek.operators import joins
 from shelfweek.plans import inbound, merged_rates, section_rates
 from shelfweek.plans.online_new import sections_of
+from shelfweek.sources import layout
 from shelfweek.sources.tables import shared_folder
 
 
@@ -80,3 +81,23 @@ def test_tiers_over_one_detail_table_join_it_once(spark, rows):
         shared = job([(h, details) for h in heads])
         assert rows(shared, *names) == rows(job(copies), *names)
         assert shared._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
+@pytest.mark.parametrize("few", [0, 2, 64])
+def test_nearest_keeps_the_ends_of_a_gap_whatever_the_number_of_times(spark, rows, monkeypatch, few):
+    monkeypatch.setattr(joins, "FEW_TIMES", few)
+    day = lambda d, h=0: datetime(2001, 1, d, h)
+    left = spark.createDataFrame([("a", day(5)), ("a", day(9)), ("a", day(20)), ("b", day(3)), (None, day(3)), ("c", day(1)), ("a", None)], "k string, t timestamp_ntz")
+    found = [("a", day(d, 7), d) for d in range(10, 19)] + [("a", day(5), 5), ("a", day(5), 4), ("a", day(1), 1), ("b", day(4), 40), ("b", day(2), 20), (None, day(9), 9), ("b", None, 0)]
+    right = spark.createDataFrame(found, "k string, s timestamp_ntz, n int")
+    nearest = joins.nearest_in_time(left, right, "k", "t", "s", ["n"], ["n"])
+    expected = {("a", day(5)): 4, ("a", day(9)): 10, ("a", day(20)): 18, ("b", day(3)): 20, (None, day(3)): 9, ("c", day(1)): None, ("a", None): None}
+    assert {(r["k"], r["t"]): r["n"] for r in nearest.collect()} == expected
+
+
+def test_tiers_are_stored_without_a_shuffle_to_their_folders(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(type(spark.range(1)), "hint", lambda *args: pytest.fail("rows are shuffled to their folders"))
+    heads = spark.createDataFrame([(1, date(2000, 1, 1)), (1, date(2001, 1, 1)), (2, None)], "k int, day date")
+    details = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "k int, item string")
+    layout.write_pairs({"live": (heads, details)}, str(tmp_path), "k", "day")
+    assert rows(layout.read_pairs(spark, str(tmp_path))[1], "item", "tier_year") == [("x", 2000), ("x", 2001), ("y", 0), ("z", 0)]
