@@ -193,7 +193,10 @@ def prefer_adjusted(lines: DataFrame) -> DataFrame:
 
 def stage_lines(src: Sources, as_of: date, receipt_time: str = "close_date", by_type: bool = False,
                 register: bool = True, drop_stocked: bool = False, rule: OrderNumbers = SIX_CHARACTERS) -> DataFrame:
-    """All stages in one layout, adjusted goods preferred."""
+    """All stages in one layout, adjusted goods preferred.
+
+    The lines are staged, because the preference reads them twice and would make every stage twice.
+    """
     stock = staged(stock_with_waves(available_stock(src.wh_inventory, src.wh_location, in_transit=True),
                                     src.wh_shipment_detail), "stock")
     live_receipts, live_details = src.wh_receipt_tiers[0]
@@ -212,7 +215,7 @@ def stage_lines(src: Sources, as_of: date, receipt_time: str = "close_date", by_
     lines = stocked
     for stage in stages:
         lines = lines.unionByName(stage)
-    return prefer_adjusted(lines)
+    return prefer_adjusted(staged(lines, "stage-lines"))
 
 
 def status_digit(status: Column) -> Column:
